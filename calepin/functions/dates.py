@@ -1,8 +1,9 @@
 """Date rules.
 
-Parsing is a shape match followed by the string-to-date cast: cheaper per row
-than a pattern formatter, free of the time zone, and with one use of the input,
-so that a filter on a parsed date can be pushed down without growing.
+A text is brought into ISO shape and cast, which is cheaper per row than a
+pattern formatter and does not depend on the time zone. Each rule names its
+input as rarely as possible: Spark pushes filters on a parsed date down to the
+scan and then repeats the whole expression behind every use of the input.
 """
 
 from __future__ import annotations
@@ -12,16 +13,13 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Days a nanosecond timestamp can hold, 1677-09-22 to 2262-04-11; later or
-# earlier dates (9999-12-31 as a placeholder, say) are invalid.
-_WHOLE_YEARS = "(?:167[89]|16[89][0-9]|1[7-9][0-9]{2}|2[01][0-9]{2}|22[0-5][0-9]|226[01])"
-ISO_DAY = (
-    f"^({_WHOLE_YEARS}-[0-9]{{1,2}}-[0-9]{{1,2}}"
-    "|1677-(?:0?9-(?:2[2-9]|30)|1[0-2]-[0-9]{1,2})"
-    "|2262-(?:0?[1-3]-[0-9]{1,2}|0?4-(?:0?[1-9]|1[01])))$"
-)
-DAY_MONTH = "([0-9]{1,2})/([0-9]{1,2})/"
-OLD_YEARS = "69|[7-9][0-9]"
+# Whole years a nanosecond timestamp can hold, 1678 to 2261; dates beyond
+# (9999-12-31 as a placeholder, say) are invalid.
+YEAR = "(?:2[01][0-9]{2}|1[7-9][0-9]{2}|22[0-5][0-9]|226[01]|16[89][0-9]|167[89])"
+ISO_DAY = f"^({YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}})$"
+NUMBER = "([0-9]{1,2})"
+MARK = "[/.-]"
+OLD_YEAR = "(69|[7-9][0-9])"
 
 
 def as_day(value: str | dt.date) -> dt.date:
@@ -41,41 +39,41 @@ def publication_window(
     return monday(as_day(first_day)), last
 
 
-def _iso_text_to_day(text: Column) -> Column:
+def iso_day(text: Column) -> Column:
+    """``2021-01-08`` or ``2021-1-8``; null for anything else."""
     # A text of another shape gives the empty string, which casts to null.
     return F.regexp_extract(text, ISO_DAY, 1).try_cast("date")
 
 
-def iso_day(text: Column) -> Column:
-    """``2021-01-08`` or ``2021-1-8``; null for anything else."""
-    return _iso_text_to_day(text)
+def _short_day_as_iso(text: Column) -> Column:
+    """``08/01/21`` in ISO order, years 69 to 99 being 19xx; anything else in
+    no valid shape."""
+    without_dash = F.replace(text, F.lit("-"), F.lit("?"))
+    old = F.regexp_replace(without_dash, f"^{NUMBER}/{NUMBER}/{OLD_YEAR}$", "19$3-$2-$1")
+    return F.regexp_replace(old, f"^{NUMBER}/{NUMBER}/([0-9]{{2}})$", "20$3-$2-$1")
 
 
 def booking_day(text: Column, operator: Column) -> Column:
-    """Appointment date: ``08/01/21`` for keldoc, else ``2021-01-08``.
+    """Appointment date: day, month and short year for keldoc, else ISO.
 
-    Leading zeros may be missing; years 69 to 99 are 19xx.
+    Leading zeros may be missing.
     """
-    # The mark keeps an ISO text from passing as a keldoc date.
-    marked = F.concat(F.lit("k"), text)
-    old = F.regexp_replace(marked, f"^k{DAY_MONTH}({OLD_YEARS})$", "19$3-$2-$1")
-    iso = F.regexp_replace(old, f"^k{DAY_MONTH}([0-9]{{2}})$", "20$3-$2-$1")
-    return _iso_text_to_day(F.when(operator == "keldoc", iso).otherwise(text))
+    return iso_day(F.when(operator == "keldoc", _short_day_as_iso(text)).otherwise(text))
 
 
 def free_day(text: Column) -> Column:
     """Date in any usual numeric form, month first where both readings fit;
     a time of day is ignored."""
-    pair = "([0-9]{1,2})[/.-]([0-9]{1,2})[/.-]"
-    day = F.regexp_replace(text, "[ T].*$", "")
-    for found, iso in (
-        (f"^{pair}({OLD_YEARS})$", "$1/$2/19$3"),
-        (f"^{pair}([0-9]{{2}})$", "$1/$2/20$3"),
-        ("^(0?[1-9]|1[0-2])[/.-]([0-9]{1,2})[/.-]([0-9]{4})$", "$3-$1-$2"),
-        (f"^{pair}([0-9]{{4}})$", "$3-$2-$1"),
+    day = F.substring_index(F.substring_index(text, " ", 1), "T", 1)
+    iso = day
+    for shape, form in (
+        (f"^{NUMBER}{MARK}{NUMBER}{MARK}{OLD_YEAR}$", "$1/$2/19$3"),
+        (f"^{NUMBER}{MARK}{NUMBER}{MARK}([0-9]{{2}})$", "$1/$2/20$3"),
+        (f"^(0?[1-9]|1[0-2]){MARK}{NUMBER}{MARK}([0-9]{{4}})$", "$3-$1-$2"),
+        (f"^{NUMBER}{MARK}{NUMBER}{MARK}([0-9]{{4}})$", "$3-$2-$1"),
     ):
-        day = F.regexp_replace(day, found, iso)
-    return _iso_text_to_day(day)
+        iso = F.regexp_replace(iso, shape, form)
+    return F.coalesce(iso_day(day), iso_day(iso))
 
 
 def strict_iso_day(text: Column, name: str) -> Column:

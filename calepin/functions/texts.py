@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from calepin.model import FALSE_TEXTS, NOT_PROVIDED, NULL_TOKENS, SLOT_BLANK, TRUE_TEXTS
+from calepin.model import BOOSTER_WORDS, FALSE_TEXTS, NOT_PROVIDED, NULL_TOKENS, SLOT_BLANK, TRUE_TEXTS
 
 
 def missing_to_null(text: Column) -> Column:
@@ -19,7 +22,7 @@ def or_not_provided(text: Column) -> Column:
 
 def is_boolean_text(text: Column) -> Column:
     """True for a blank or one of the accepted boolean spellings."""
-    return text.isNull() | text.isin(*TRUE_TEXTS, *FALSE_TEXTS)
+    return F.coalesce(text, F.lit("true")).isin(*TRUE_TEXTS, *FALSE_TEXTS)
 
 
 def three_valued(text: Column) -> Column:
@@ -46,7 +49,10 @@ def vaccine(reason_lower: Column, delivered: Column) -> Column:
     Paediatric beats Pfizer beats Moderna beats Janssen beats AstraZeneca.
     """
     return (
-        F.when(reason_lower.rlike("p[eé]dia"), F.lit("Pfizer Pédiatrique"))
+        F.when(
+            reason_lower.contains("pedia") | reason_lower.contains("pédia"),
+            F.lit("Pfizer Pédiatrique"),
+        )
         .when(reason_lower.contains("pfizer"), F.lit("Pfizer"))
         .when(reason_lower.contains("moderna"), F.lit("Moderna"))
         .when(reason_lower.contains("janssen"), F.lit("Janssen"))
@@ -66,7 +72,7 @@ def insurer_flag(reason_upper: Column) -> Column:
 
 def booster_flag(reason_upper: Column) -> Column:
     """``true`` where the upper-cased reason speaks of a booster."""
-    return _as_text(reason_upper.rlike("RAPPEL|3|IMMUN|TROIS"))
+    return _as_text(reduce(or_, map(reason_upper.contains, BOOSTER_WORDS)))
 
 
 def slot_count(text: Column) -> Column:

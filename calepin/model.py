@@ -21,6 +21,9 @@ NULL_TOKENS = (
     "nan", "null",
 )
 
+# What marks the reason of a booster appointment, upper-cased.
+BOOSTER_WORDS = ("RAPPEL", "3", "IMMUN", "TROIS")
+
 # What a blank count looks like in the keldoc slot files.
 SLOT_BLANK = " -   "
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from calepin.functions import texts
-from calepin.functions.dates import as_day, booking_day, free_day
+from calepin.functions.dates import as_day, free_day
 from calepin.functions.postcodes import department, pad_booking_postcode, pad_slot_postcode
 from calepin.model import BOOKING, NOT_PROVIDED, RAW_BOOKING, SLOT
 from calepin.operators.territory import with_region
@@ -21,14 +21,12 @@ from calepin.operators.validation import tag_rejects
 def normalize_bookings(
     valid: DataFrame, keep: tuple[str, ...] = (), dimension: DataFrame | None = None
 ) -> DataFrame:
-    """Normalised appointments from checked rows; ``keep`` names extra columns
-    to carry along."""
+    """Normalised appointments from the rows of ``tag_rejects``; ``keep`` names
+    extra columns to carry along."""
     operator, reason = F.col("operateur"), F.col("motif_rdv")
     # Upper and lower case are computed once here and read several times below.
     prepared = valid.withColumns(
         {
-            "date_rdv": booking_day(F.col("date_rdv"), operator),
-            "date_creation": booking_day(F.col("date_creation"), operator),
             "cp_centre": pad_booking_postcode(F.col("cp_centre")),
             "motif_rdv": texts.or_not_provided(reason),
             "motif_min": F.lower(reason),
@@ -38,7 +36,8 @@ def normalize_bookings(
     journey = F.col("parcours_rdv")
     normalized = prepared.withColumns(
         {
-            "date_creation": F.coalesce(F.col("date_creation"), F.col("date_rdv")),
+            "date_rdv": F.col("jour_rdv"),
+            "date_creation": F.coalesce(F.col("jour_creation"), F.col("jour_rdv")),
             "code_departement": texts.or_not_provided(department(F.col("cp_centre"))),
             "cp_centre": texts.or_not_provided(F.col("cp_centre")),
             "id_centre": texts.or_not_provided(F.col("id_centre")),
@@ -68,7 +67,11 @@ def normalize_slots(
         for name in ("nb_heures", "nb_lignes", "nb_creneaux")
     }
     prepared = raw.withColumns(
-        {"date": free_day(F.col("date")), "cp_centre": pad_slot_postcode(F.col("cp_centre")), **counts}
+        {
+            "date": free_day(F.col("date")),
+            "cp_centre": pad_slot_postcode(F.col("cp_centre")),
+            **counts,
+        }
     ).withColumn("code_departement", department(F.col("cp_centre")))
     return with_region(prepared, dimension).select(*keep, *SLOT)
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from calepin.functions.dates import as_day, booking_day
+from calepin.functions.dates import as_day
 from calepin.model import DEFAULT_THRESHOLD
 from calepin.operators.validation import error_report, with_every_operator
 
@@ -25,12 +25,12 @@ def _warnings(no_centre: Column, no_birth_year: Column, day: Column, as_of: dt.d
 
 
 def quality_warnings(valid: DataFrame, as_of: str | dt.date) -> DataFrame:
-    """Warnings from checked raw appointments."""
+    """Warnings from the valid rows of ``tag_rejects``."""
     return valid.groupBy("operateur").agg(
         *_warnings(
             F.col("id_centre").isNull(),
             F.col("annee_naissance").isNull(),
-            booking_day(F.col("date_rdv"), F.col("operateur")),
+            F.col("jour_rdv"),
             as_day(as_of),
         )
     )

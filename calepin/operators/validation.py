@@ -33,13 +33,11 @@ def with_operator_constants(raw: DataFrame) -> DataFrame:
 
 def reject_reason() -> Column:
     """Name of the first field that fails its check, null for a valid row."""
-    operator = F.col("operateur")
-    created = F.col("date_creation")
     checks = (
         ("honore", is_boolean_text(F.col("honore"))),
         ("annule", is_boolean_text(F.col("annule"))),
-        ("date_rdv", booking_day(F.col("date_rdv"), operator).isNotNull()),
-        ("date_creation", created.isNull() | booking_day(created, operator).isNotNull()),
+        ("date_rdv", F.col("jour_rdv").isNotNull()),
+        ("date_creation", F.col("date_creation").isNull() | F.col("jour_creation").isNotNull()),
         ("cp_centre", is_postcode(F.col("cp_centre"))),
     )
     reason = F
@@ -49,8 +47,19 @@ def reject_reason() -> Column:
 
 
 def tag_rejects(raw: DataFrame) -> DataFrame:
-    """Raw rows with ``motif_rejet``; valid and rejected rows in one pass."""
-    return with_operator_constants(raw).withColumn("motif_rejet", reject_reason())
+    """Raw rows with ``motif_rejet`` and the parsed dates ``jour_rdv`` and
+    ``jour_creation``; valid and rejected rows in one pass."""
+    operator = F.col("operateur")
+    return (
+        with_operator_constants(raw)
+        .withColumns(
+            {
+                "jour_rdv": booking_day(F.col("date_rdv"), operator),
+                "jour_creation": booking_day(F.col("date_creation"), operator),
+            }
+        )
+        .withColumn("motif_rejet", reject_reason())
+    )
 
 
 def valid_rows(tagged: DataFrame) -> DataFrame:
