@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from calepin.model import BOOSTER_WORDS, FALSE_TEXTS, NOT_PROVIDED, NULL_TOKENS, SLOT_BLANK, TRUE_TEXTS
 
 
-def missing_to_null(text: Column) -> Column:
-    """Null for the texts that stand for a missing value."""
-    return F.when(~text.isin(*NULL_TOKENS), text)
+def missing_to_null(name: str) -> Column:
+    """The named column, null for the texts that stand for a missing value."""
+    tokens = ", ".join(f"'{token}'" for token in NULL_TOKENS)
+    return F.expr(f"if(`{name}` in ({tokens}), null, `{name}`)").alias(name)
 
 
 def or_not_provided(text: Column) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from calepin.operators.quality import stored_figures
 from calepin.plans import layout
 from calepin.sources.drops import chosen_drops
 from calepin.sources.feeds import read_bookings, read_checked
-from calepin.sources.sinks import write_csv_partitions, write_partitions
+from calepin.sources.sinks import write_csv_partitions, write_partitions, write_together
 
 
 def store_checked(raw: DataFrame, out: str, as_of: str | dt.date) -> None:
@@ -49,23 +50,31 @@ def process_bookings(
     else:
         checked = checked_bookings(read_bookings(spark, drops))
     figures = stored_figures(checked, as_of, threshold, OPERATORS)
+    publication = F.lit(as_day(as_of))
     # One row per operator.
-    write_csv_partitions(
-        figures.coalesce(1).withColumn("date_publication", F.lit(as_day(as_of))),
-        layout.stored(out, layout.ERROR_REPORT),
-        "date_publication",
-        separator=";",
-    )
+    writes = [
+        partial(
+            write_csv_partitions,
+            figures.coalesce(1).withColumn("date_publication", publication),
+            layout.stored(out, layout.ERROR_REPORT),
+            "date_publication",
+            separator=";",
+        )
+    ]
     if drops:
-        rejects = stored_rejects(checked, as_of).withColumn("date_publication", F.lit(as_day(as_of)))
+        rejects = stored_rejects(checked, as_of).withColumn("date_publication", publication)
         # Few rows out of every split: gathered into full files, a large
         # operator being split again where adaptive execution sees it.
-        write_partitions(
-            rejects.hint("rebalance", "operateur"),
-            layout.stored(out, layout.REJECTS),
-            "date_publication",
-            "operateur",
+        writes.append(
+            partial(
+                write_partitions,
+                rejects.hint("rebalance", "operateur"),
+                layout.stored(out, layout.REJECTS),
+                "date_publication",
+                "operateur",
+            )
         )
+    write_together(spark, *writes)
     return figures
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +20,12 @@ from calepin.operators.rollups import (
 )
 from calepin.plans import layout
 from calepin.sources.feeds import read_counted, read_normalized
-from calepin.sources.sinks import write_by_region, write_csv, write_partitions
+from calepin.sources.sinks import (
+    write_by_region,
+    write_csv,
+    write_partitions,
+    write_together,
+)
 
 OPEN_DATA = {
     "par_centre": "centre",
@@ -38,16 +44,24 @@ def write_publication(
     regions: tuple[str, ...] = ARS_REGIONS,
 ) -> None:
     """Weekly tables, daily table whole and by region, and excluded rows."""
-    for name, level in OPEN_DATA.items():
-        write_csv(
+    daily = ars_daily(counted)
+    path = partial(layout.published, out, as_of)
+    weekly_writes = [
+        partial(
+            write_csv,
             weekly(counted, level, as_of, first_day, weeks),
-            layout.published(out, as_of, "opendata", name),
+            path("opendata", name),
             SORT_KEYS[level],
         )
-    daily = ars_daily(counted)
-    write_csv(daily, layout.published(out, as_of, "prise_rdv"), SORT_KEYS["ars"])
-    write_by_region(daily, layout.published(out, as_of, "ars"), regions)
-    write_csv(excluded_rows(counted), layout.published(out, as_of, "exclusions"))
+        for name, level in OPEN_DATA.items()
+    ]
+    write_together(
+        counted.sparkSession,
+        *weekly_writes,
+        partial(write_csv, daily, path("prise_rdv"), SORT_KEYS["ars"]),
+        partial(write_by_region, daily, path("ars"), regions),
+        partial(write_csv, excluded_rows(counted), path("exclusions")),
+    )
 
 
 def store_counted(counted: DataFrame, out: str, as_of: str | dt.date) -> DataFrame:
@@ -77,9 +91,13 @@ def publish(
     ``without`` leaves operators out, for instance those with an alert.
     """
     bookings = read_normalized(spark, layout.stored(out, layout.CHECKED), as_of, without)
-    write_csv(bookings, layout.published(out, as_of, "prise_rdv-raw"), gzip=True)
-    counted = store_counted(centre_day_with_gaps(bookings), out, as_of)
-    write_publication(counted, out, as_of, first_day, weeks, regions)
+
+    def rollups() -> None:
+        counted = store_counted(centre_day_with_gaps(bookings), out, as_of)
+        write_publication(counted, out, as_of, first_day, weeks, regions)
+
+    raw_path = layout.published(out, as_of, "prise_rdv-raw")
+    write_together(spark, rollups, partial(write_csv, bookings, raw_path, gzip=True))
 
 
 def publish_from_partials(

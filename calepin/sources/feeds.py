@@ -48,7 +48,7 @@ def read_text_table(
     table = spark.read.csv(
         paths, sep=separator, header=True, quote='"', escape='"', multiLine=multi_line
     )
-    return table.select([missing_to_null(F.col(f"`{name}`")).alias(name) for name in table.columns])
+    return table.select([missing_to_null(name) for name in table.columns])
 
 
 def read_booking_drop(

@@ -6,7 +6,11 @@ again changes nothing. Published tables are CSV folders.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from calepin.model import ARS_REGIONS
@@ -23,6 +27,18 @@ CSV_OPTIONS = {
 }
 
 
+def write_together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run independent writes at the same time; the first error is raised.
+
+    Each is a Spark job of its own, so that a small one does not wait for the
+    last tasks of a large one.
+    """
+    with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+        for job in started:
+            job.result()
+
+
 def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
     """Replace the partitions present in ``df`` and leave all others alone."""
     (

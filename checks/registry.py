@@ -354,17 +354,23 @@ def null_tokens(spark, sf_dir):
     text = F.element_at(
         F.array(*map(F.lit, samples)), (F.col("o_orderkey") % len(samples) + 1).cast("int")
     )
-    return given(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("rdv_id"),
-        text.alias("brut"),
-        texts.missing_to_null(text).alias("valeur"),
+    delivered = given(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("rdv_id"), text.alias("brut"), text.alias("valeur")
     )
+    return delivered.select("rdv_id", "brut", texts.missing_to_null("valeur"))
 
 
-def deliver_bookings(spark: SparkSession, sf_dir: str) -> str:
-    """Write the derived appointments as the operators' drops."""
+def repeated(df: DataFrame, copies: int) -> DataFrame:
+    if copies == 1:
+        return df
+    return df.withColumn("copie", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copie")
+
+
+def deliver_bookings(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """Write the derived appointments as the operators' drops, each row
+    ``copies`` times."""
     folder = work_folder(spark)
-    raw = raw_bookings(spark, sf_dir)
+    raw = repeated(raw_bookings(spark, sf_dir), copies)
     for name in OPERATORS:
         without = ("annee_naissance",) if name == "doctolib" else ()
         sinks.write_csv(
@@ -375,10 +381,11 @@ def deliver_bookings(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
-def deliver_slots(spark: SparkSession, sf_dir: str) -> str:
-    """Write the derived slots as the operators' drops."""
+def deliver_slots(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
+    """Write the derived slots as the operators' drops, each row ``copies``
+    times."""
     folder = work_folder(spark)
-    raw = raw_slots(spark, sf_dir)
+    raw = repeated(raw_slots(spark, sf_dir), copies)
     for name in OPERATORS:
         columns = [
             F.col(c).alias(SLOT_HEADERS[name].get(c, c))

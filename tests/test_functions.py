@@ -58,7 +58,7 @@ def test_reason_flags(evaluate):
 
 
 def test_missing_values(evaluate):
-    check(evaluate, texts.missing_to_null, [
+    check(evaluate, lambda c: texts.missing_to_null("c0"), [
         ("NA", None), ("null", None), ("N/A", None), ("nan", None), ("None", None), ("", None),
         ("#N/A", None), ("<NA>", None), ("NR", "NR"), ("-", "-"), ("NAN", "NAN"), (None, None),
     ])
