@@ -22,7 +22,8 @@ def pad_booking_postcode(text: Column) -> Column:
 
 def pad_slot_postcode(text: Column) -> Column:
     """As for appointments, once a single leading space is gone."""
-    return F.when(text.startswith("0"), text).otherwise(_pad(F.regexp_replace(text, "^ ", "")))
+    stripped = F.when(text.startswith(" "), F.substr(text, F.lit(2))).otherwise(text)
+    return F.when(text.startswith("0"), text).otherwise(_pad(stripped))
 
 
 def department(postcode: Column) -> Column:
@@ -30,8 +31,8 @@ def department(postcode: Column) -> Column:
     departments have three characters."""
     number = F.substring_index(postcode, " ", 1).try_cast("int")
     return (
-        F.when(number.between(20000, 20199), F.lit("2A"))
-        .when(number.between(20200, 20999), F.lit("2B"))
+        F.when(F.floor(number / 100).isin(200, 201), F.lit("2A"))
+        .when(F.floor(number / 1000) == 20, F.lit("2B"))
         .when(postcode.startswith("97"), F.substring(postcode, 1, 3))
         .otherwise(F.substring(postcode, 1, 2))
     )

@@ -21,17 +21,12 @@ def or_not_provided(text: Column) -> Column:
     return F.coalesce(text, F.lit(NOT_PROVIDED))
 
 
-def is_boolean_text(text: Column) -> Column:
-    """True for a blank or one of the accepted boolean spellings."""
-    return F.coalesce(text, F.lit("true")).isin(*TRUE_TEXTS, *FALSE_TEXTS)
-
-
 def three_valued(text: Column) -> Column:
-    """``true``, ``false`` or ``NR``; anything else is left as it is."""
+    """``true``, ``false``, or ``NR`` for a blank; null for any other text."""
     return (
         F.when(text.isin(*TRUE_TEXTS), F.lit("true"))
         .when(text.isin(*FALSE_TEXTS), F.lit("false"))
-        .otherwise(or_not_provided(text))
+        .when(text.isNull(), F.lit(NOT_PROVIDED))
     )
 
 

@@ -46,8 +46,8 @@ def normalize_bookings(
             "parcours_rdv": F.when(
                 (operator == "doctolib") & journey.isNull(), F.lit(NOT_PROVIDED)
             ).otherwise(journey),
-            "honore": texts.three_valued(F.col("honore")),
-            "annule": texts.three_valued(F.col("annule")),
+            "honore": F.col("honore_lu"),
+            "annule": F.col("annule_lu"),
             "type_vaccin": texts.vaccine(F.col("motif_min"), F.col("type_vaccin")),
             "rdv_cnam": texts.insurer_flag(F.col("motif_maj")),
             "rdv_rappel": texts.booster_flag(F.col("motif_maj")),

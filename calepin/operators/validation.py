@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from calepin.functions.dates import as_day, booking_day
 from calepin.functions.postcodes import is_postcode
-from calepin.functions.texts import is_boolean_text
+from calepin.functions.texts import three_valued
 from calepin.model import DEFAULT_THRESHOLD, NOT_PROVIDED, OPERATORS, RAW_BOOKING
 
 
@@ -34,8 +34,8 @@ def with_operator_constants(raw: DataFrame) -> DataFrame:
 def reject_reason() -> Column:
     """Name of the first field that fails its check, null for a valid row."""
     checks = (
-        ("honore", is_boolean_text(F.col("honore"))),
-        ("annule", is_boolean_text(F.col("annule"))),
+        ("honore", F.col("honore_lu").isNotNull()),
+        ("annule", F.col("annule_lu").isNotNull()),
         ("date_rdv", F.col("jour_rdv").isNotNull()),
         ("date_creation", F.col("date_creation").isNull() | F.col("jour_creation").isNotNull()),
         ("cp_centre", is_postcode(F.col("cp_centre"))),
@@ -47,8 +47,11 @@ def reject_reason() -> Column:
 
 
 def tag_rejects(raw: DataFrame) -> DataFrame:
-    """Raw rows with ``motif_rejet`` and the parsed dates ``jour_rdv`` and
-    ``jour_creation``; valid and rejected rows in one pass."""
+    """Raw rows with ``motif_rejet``, valid and rejected ones in one pass.
+
+    Fields that have to be read to be checked stay at hand as read: the dates
+    ``jour_rdv`` and ``jour_creation``, the flags ``honore_lu``, ``annule_lu``.
+    """
     operator = F.col("operateur")
     return (
         with_operator_constants(raw)
@@ -56,6 +59,8 @@ def tag_rejects(raw: DataFrame) -> DataFrame:
             {
                 "jour_rdv": booking_day(F.col("date_rdv"), operator),
                 "jour_creation": booking_day(F.col("date_creation"), operator),
+                "honore_lu": three_valued(F.col("honore")),
+                "annule_lu": three_valued(F.col("annule")),
             }
         )
         .withColumn("motif_rejet", reject_reason())

@@ -70,8 +70,8 @@ def format_checks(spark, sf_dir):
     created = F.col("date_creation")
     return raw_bookings(spark, sf_dir).select(
         "rdv_id",
-        texts.is_boolean_text(F.col("honore")).alias("honore_valide"),
-        texts.is_boolean_text(F.col("annule")).alias("annule_valide"),
+        texts.three_valued(F.col("honore")).isNotNull().alias("honore_valide"),
+        texts.three_valued(F.col("annule")).isNotNull().alias("annule_valide"),
         dates.booking_day(F.col("date_rdv"), operator).isNotNull().alias("date_rdv_valide"),
         (created.isNull() | dates.booking_day(created, operator).isNotNull()).alias(
             "date_creation_valide"

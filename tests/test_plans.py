@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -84,3 +85,22 @@ def test_rejects_read_only_their_columns(spark, stored):
     found = scan(stored_rejects(feeds.read_checked(spark, stored, AS_OF), AS_OF))
     assert "IsNotNull(motif_rejet)" in found["PushedFilters"]
     assert "rdv_rappel" not in found["ReadSchema"]
+
+
+def test_generated_methods_stay_compilable(spark, tmp_path):
+    # The JVM interprets methods of more than 8000 bytes for good.
+    raw_bookings(spark, SF_DIR).write.parquet(str(tmp_path / "rdv"))
+    raw_slots(spark, SF_DIR).write.parquet(str(tmp_path / "creneaux"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        for df in (
+            checked_bookings(spark.read.parquet(str(tmp_path / "rdv"))),
+            normalize_slots(spark.read.parquet(str(tmp_path / "creneaux"))),
+        ):
+            df.createOrReplaceTempView("genere")
+            text = spark.sql("explain codegen select * from genere").first()[0]
+            sizes = [int(size) for size in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+            assert sizes and max(sizes) < 8000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
