@@ -6,27 +6,14 @@ import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from calepin.functions.dates import as_day
 from calepin.model import DEFAULT_THRESHOLD, OPERATORS
 from calepin.operators.normalization import checked_bookings, stored_rejects
 from calepin.operators.quality import stored_figures
 from calepin.plans import layout
 from calepin.sources.drops import chosen_drops
 from calepin.sources.feeds import read_bookings, read_checked
-from calepin.sources.sinks import write_csv_partitions, write_partitions, write_together
-
-
-def store_checked(raw: DataFrame, out: str, as_of: str | dt.date) -> None:
-    """Check and normalise raw appointments into the stored table.
-
-    No shuffle: every input split goes straight to one Parquet file.
-    """
-    checked = checked_bookings(raw).withColumn("date_publication", F.lit(as_day(as_of)))
-    write_partitions(
-        checked, layout.stored(out, layout.CHECKED), "date_publication", "operateur"
-    )
+from calepin.sources.sinks import write_publication, write_together
 
 
 def process_bookings(
@@ -40,41 +27,30 @@ def process_bookings(
     """Take each operator's newest drop, check, normalise and store it, then
     write rejects and error report. Returns the report.
 
-    The raw files are parsed once; everything else reads the stored table.
+    The raw files are parsed once, without a shuffle: each input split goes
+    straight to one Parquet file. Everything else reads the stored table.
     """
-    drops = chosen_drops(spark, landing, as_of)
-    if drops:
-        store_checked(read_bookings(spark, drops, multi_line), out, as_of)
-        checked = read_checked(spark, layout.stored(out, layout.CHECKED), as_of)
-        checked = checked.filter(F.col("operateur").isin(*drops))
-    else:
-        checked = checked_bookings(read_bookings(spark, drops))
+    raw = read_bookings(spark, chosen_drops(spark, landing, as_of), multi_line)
+    path = layout.stored(out, layout.CHECKED)
+    write_publication(checked_bookings(raw), path, as_of, "operateur")
+    checked = read_checked(spark, path, as_of)
     figures = stored_figures(checked, as_of, threshold, OPERATORS)
-    publication = F.lit(as_day(as_of))
-    # One row per operator.
-    writes = [
+    # Few rejects come out of every split. They are gathered into full files;
+    # adaptive execution splits the share of a large operator again.
+    rejects = stored_rejects(checked, as_of).hint("rebalance", "operateur")
+    write_together(
+        spark,
         partial(
-            write_csv_partitions,
-            figures.coalesce(1).withColumn("date_publication", publication),
+            write_publication,
+            figures.coalesce(1),  # one row per operator
             layout.stored(out, layout.ERROR_REPORT),
-            "date_publication",
+            as_of,
             separator=";",
-        )
-    ]
-    if drops:
-        rejects = stored_rejects(checked, as_of).withColumn("date_publication", publication)
-        # Few rows out of every split: gathered into full files, a large
-        # operator being split again where adaptive execution sees it.
-        writes.append(
-            partial(
-                write_partitions,
-                rejects.hint("rebalance", "operateur"),
-                layout.stored(out, layout.REJECTS),
-                "date_publication",
-                "operateur",
-            )
-        )
-    write_together(spark, *writes)
+        ),
+        partial(
+            write_publication, rejects, layout.stored(out, layout.REJECTS), as_of, "operateur"
+        ),
+    )
     return figures
 
 

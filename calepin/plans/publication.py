@@ -6,9 +6,7 @@ import datetime as dt
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from calepin.functions.dates import as_day
 from calepin.model import ARS_REGIONS, DEFAULT_FIRST_DAY, DEFAULT_WEEKS
 from calepin.operators.rollups import (
     SORT_KEYS,
@@ -23,7 +21,7 @@ from calepin.sources.feeds import read_counted, read_normalized
 from calepin.sources.sinks import (
     write_by_region,
     write_csv,
-    write_partitions,
+    write_publication,
     write_together,
 )
 
@@ -35,7 +33,7 @@ OPEN_DATA = {
 }
 
 
-def write_publication(
+def write_published_tables(
     counted: DataFrame,
     out: str,
     as_of: str | dt.date,
@@ -71,9 +69,7 @@ def store_counted(counted: DataFrame, out: str, as_of: str | dt.date) -> DataFra
     once, and a lost executor costs a rollup and not that aggregation.
     """
     path = layout.stored(out, layout.CENTRE_DAY)
-    write_partitions(
-        counted.withColumn("date_publication", F.lit(as_day(as_of))), path, "date_publication"
-    )
+    write_publication(counted, path, as_of)
     return read_counted(counted.sparkSession, path, as_of)
 
 
@@ -94,7 +90,7 @@ def publish(
 
     def rollups() -> None:
         counted = store_counted(centre_day_with_gaps(bookings), out, as_of)
-        write_publication(counted, out, as_of, first_day, weeks, regions)
+        write_published_tables(counted, out, as_of, first_day, weeks, regions)
 
     raw_path = layout.published(out, as_of, "prise_rdv-raw")
     write_together(spark, rollups, partial(write_csv, bookings, raw_path, gzip=True))
@@ -110,4 +106,4 @@ def publish_from_partials(
 ) -> None:
     """The same tables from centre-day counts of separate slices."""
     counted = store_counted(merge_rollup(*partials), out, as_of)
-    write_publication(counted, out, as_of, first_day, weeks, regions)
+    write_published_tables(counted, out, as_of, first_day, weeks, regions)

@@ -14,7 +14,7 @@ from calepin.operators.quality import slot_quality
 from calepin.plans import layout
 from calepin.sources.drops import chosen_drops
 from calepin.sources.feeds import read_slots
-from calepin.sources.sinks import write_csv, write_partitions
+from calepin.sources.sinks import write_csv, write_publication
 
 
 def process_slots(
@@ -28,23 +28,15 @@ def process_slots(
 
     Returns the figures per operator, a missing feed having no rows.
     """
-    drops = chosen_drops(spark, landing, as_of, slots=True)
-    raw = read_slots(spark, drops, multi_line)
+    raw = read_slots(spark, chosen_drops(spark, landing, as_of, slots=True), multi_line)
     delivered = raw.withColumn("date_fournie", F.col("date").isNotNull())
     slots = normalize_slots(delivered, ("date_fournie",))
     path = layout.stored(out, layout.SLOTS)
-    if drops:
-        write_partitions(
-            slots.withColumn("date_publication", F.lit(as_day(as_of))),
-            path,
-            "date_publication",
-            "operateur",
-        )
-        slots = (
-            spark.read.schema(slots.schema.add("date_publication", "date"))
-            .parquet(path)
-            .filter(F.col("date_publication") == F.lit(as_day(as_of)))
-            .filter(F.col("operateur").isin(*drops))
-        )
-        write_csv(slots.select(*SLOT), layout.published(out, as_of, "creneaux"))
-    return slot_quality(slots, OPERATORS)
+    write_publication(slots, path, as_of, "operateur")
+    stored = (
+        spark.read.schema(slots.schema.add("date_publication", "date"))
+        .parquet(path)
+        .filter(F.col("date_publication") == F.lit(as_day(as_of)))
+    )
+    write_csv(stored.select(*SLOT), layout.published(out, as_of, "creneaux"))
+    return slot_quality(stored, OPERATORS)

@@ -1,11 +1,12 @@
 """Writers.
 
-Stored tables are Parquet, replaced partition by partition, so running a job
-again changes nothing. Published tables are CSV folders.
+Stored tables are Parquet, replaced by partition, so running a job again
+changes nothing. Published tables are CSV folders.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,6 +14,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from calepin.functions.dates import as_day
 from calepin.model import ARS_REGIONS
 from calepin.operators.rollups import SORT_KEYS
 
@@ -49,6 +51,21 @@ def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
+def write_publication(
+    df: DataFrame, path: str, as_of: str | dt.date, *columns: str, separator: str | None = None
+) -> None:
+    """Replace all that a table holds for one publication date, so that a
+    second run leaves nothing of the first. CSV if a separator is given."""
+    day = f"{path}/date_publication={as_day(as_of).isoformat()}"
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if columns:
+        writer = writer.partitionBy(*columns)
+    if separator:
+        writer.options(**CSV_OPTIONS).option("sep", separator).csv(day)
+    else:
+        writer.parquet(day)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -68,18 +85,6 @@ def write_csv(
     writer.csv(path)
 
 
-def write_csv_partitions(df: DataFrame, path: str, *columns: str, separator: str = ",") -> None:
-    """CSV counterpart of ``write_partitions``."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .options(**CSV_OPTIONS)
-        .option("sep", separator)
-        .partitionBy(*columns)
-        .csv(path)
-    )
-
-
 def write_by_region(daily: DataFrame, path: str, regions: tuple[str, ...] = ARS_REGIONS) -> None:
     """One CSV folder per region, rows in key order.
 

@@ -203,6 +203,17 @@ def test_bookings_to_publication_and_again(spark, landing, tmp_path):
     assert summary.rg1_groupes == 0
 
 
+def test_a_second_run_leaves_nothing_of_the_first(spark, landing, tmp_path):
+    out = str(tmp_path / "sortie")
+    process_bookings(spark, str(landing), out, "2021-12-17")
+    read_rejects = lambda: spark.read.schema("motif_rejet string").parquet(layout.stored(out, layout.REJECTS))
+    assert read_rejects().count() == 2
+    put(landing / "maiia/2021-12-16-maiia-rdv.csv", HEADER, LINE)
+    process_bookings(spark, str(landing), out, "2021-12-17")
+    assert read_rejects().count() == 0
+    assert feeds.read_normalized(spark, layout.stored(out, layout.CHECKED), "2021-12-17").count() == 2
+
+
 def test_error_report_file(spark, landing, tmp_path):
     out = str(tmp_path / "sortie")
     process_bookings(spark, str(landing), out, "2021-12-17")
