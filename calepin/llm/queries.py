@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from calepin.llm import packing, quality_rules, sentencepiece_codec, sharding
+from calepin.llm import (
+    language_id,
+    lm_scoring,
+    ngram_join,
+    packing,
+    quality_classifier,
+    quality_rules,
+    secrets,
+    sentencepiece_codec,
+    sharding,
+)
 from calepin.llm.common import table
 from calepin.llm.oracles import ORACLES
 
@@ -19,6 +29,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_partenum_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.joined(table(spark, sf_dir, "documents"))
+
+
+def op2_ppm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.scored(table(spark, sf_dir, "documents"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(table(spark, sf_dir, "documents")).selectExpr(
         "row.doc_id as doc_id",
@@ -32,6 +50,14 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(table(spark, sf_dir, "documents"))
+
+
+def op6_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classified(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.codec_digests(
         table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model")
@@ -42,13 +68,27 @@ def op8_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards_of(table(spark, sf_dir, "documents"))
 
 
+def op9_secret_novelty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scanned(table(spark, sf_dir, "documents"))
+
+
 def op10_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 QUERIES: dict[str, Query] = {
     query.__name__: query
-    for query in (op3_quality_rules, op7_sentencepiece, op8_sampled_splitters, op10_sum_of_squares)
+    for query in (
+        op1_partenum_join,
+        op2_ppm_scoring,
+        op3_quality_rules,
+        op5_ppm_language,
+        op6_additive_quality,
+        op7_sentencepiece,
+        op8_sampled_splitters,
+        op9_secret_novelty,
+        op10_sum_of_squares,
+    )
 }
 
 __all__ = ["ORACLES", "QUERIES", "tokenizer_path"]
