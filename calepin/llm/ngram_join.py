@@ -480,3 +480,22 @@ def linked(members: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
             .select("key", "node", F.coalesce("component", "node").alias("component"))
         )
     return links
+
+
+def keep_one(docs: DataFrame, length: int = SHINGLE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents whose id is the smallest of their group, one row an id,
+    with their own columns. Rows without an id belong to no group and stay."""
+    groups = stored(joined(docs, length, doc_id, text), shared_folder(docs.sparkSession), "groups")
+    groups = groups.where("doc_id is not null")
+    gone = groups.where("doc_id <> component_id").select("doc_id")
+    again = groups.groupBy("doc_id").count().where("count > 1").select("doc_id")
+    apart, doubled = gone.union(again).distinct(), again.join(gone, "doc_id", "left_anti")
+
+    def met(ids: DataFrame, how: str) -> DataFrame:
+        name = "id of a group"  # no column of the documents
+        ids = ids.select(F.col("doc_id").alias(name))
+        if ids.count() <= SENT_IDS:
+            ids = F.broadcast(ids)
+        return docs.join(ids, docs[doc_id].cast("long") == ids[name], how)
+
+    return met(apart, "left_anti").unionByName(met(doubled, "left_semi").dropDuplicates([doc_id]))

@@ -53,7 +53,34 @@ with given as (
 )
 """
 
+# Shingles of five words, pairs by their common shingles, groups by reach.
+NGRAM_JOIN = """
+with recursive given as (
+  select doc_id, [x for x in regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+') if x <> ''] as w
+  from documents
+), shingles as (
+  select distinct doc_id, array_to_string(w[i:i + 4], ' ') as g
+  from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 4, 1))) as i from given where len(w) > 0)
+), sizes as (
+  select doc_id, count(*) as n from shingles group by doc_id
+), links as (
+  select x.doc_id as a, y.doc_id as b, count(*) as c
+  from shingles x join shingles y on x.g = y.g and x.doc_id <> y.doc_id group by all
+), similar as (
+  select a, b from links join sizes p on p.doc_id = a join sizes q on q.doc_id = b
+  where 100 * c >= 80 * (p.n + q.n - c)
+), reach as (
+  select a, b from similar union select r.a, s.b from reach r join similar s on r.b = s.a
+)
+select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id
+from given left join sizes using (doc_id)
+left join (select a as doc_id, min(b) as low from reach group by a) using (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op1_partenum_join": NGRAM_JOIN,
     "op3_quality_rules": RULE_MEASURES.format(docs="documents")
     + f"""
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -181,4 +181,7 @@ def judged(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The documents that break no rule, with their own columns."""
-    return judged(docs, text, rules).where("kept").select("row.*")
+    # A row number keeps the filter above the measures: pushed below them, it
+    # would hold a copy of every measure's whole expression.
+    numbered = judged(docs, text, rules).select("row", "kept", F.monotonically_increasing_id().alias("number"))
+    return numbered.where("kept and number >= 0").select("row.*")

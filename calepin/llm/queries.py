@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from calepin.llm import (
+    graph_search,
     language_id,
     lm_scoring,
     ngram_join,
@@ -50,6 +51,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_pruned_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_search.neighbours(table(spark, sf_dir, "embeddings"))
+
+
 def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identified(table(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES: dict[str, Query] = {
         op1_partenum_join,
         op2_ppm_scoring,
         op3_quality_rules,
+        op4_pruned_graph,
         op5_ppm_language,
         op6_additive_quality,
         op7_sentencepiece,

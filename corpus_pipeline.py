@@ -1,12 +1,18 @@
-"""Stages from raw documents to packed training sequences."""
+"""Stages from raw documents to packed training sequences.
+
+Each stage takes all that its predecessor kept. The first three drop documents,
+the fourth masks what it finds, the last returns pieces and their places. All
+but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from calepin.llm import packing, quality_rules
+from calepin.llm import ngram_join, packing, quality_classifier, quality_rules, secrets
 from calepin.llm.common import shared_folder, ship, table
 from calepin.llm.queries import tokenizer_path
 
@@ -18,14 +24,37 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the model, learned from the labels of those left, accepts."""
+    return quality_classifier.keep_good(docs, table(spark, sf_dir, "labels"))
+
+
+def duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of the smallest id of each group of near duplicates."""
+    ship(spark)
+    return ngram_join.keep_one(docs)
+
+
+def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets masked and ``n_chars`` counted anew."""
+    ship(spark)
+    clean = docs.withColumn("text", secrets.without_secrets(F.col("text")))
+    if "n_chars" not in docs.columns:
+        return clean
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the kept documents and their places in training sequences."""
+    """Pieces of the documents and their places in training sequences."""
     ship(spark)
     return packing.packed(docs, tokenizer_path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", rules_stage),
+    ("quality classifier", classifier_stage),
+    ("n-gram Jaccard join", duplicates_stage),
+    ("secret scans", secrets_stage),
     ("best-fit packing", packing_stage),
 ]
 
