@@ -2,21 +2,26 @@
 
 Documents with equal shingle sets form a class; the rest of the work is about
 one set a class and task. Sets are dealt into size bands; two sets similar
-enough share a band's instance as its lower or upper side. An instance with
-Hamming bound k deals the shingle hashes into n1 groups of n2 partitions. Two
-sets within the bound differ in one partition at most in more than ``spare`` of
-the groups, so there they agree on all but one partition: each subset of
-n2 - 1 partitions of a group, nonempty, gives a signature. A set with more than
-``spare`` groups in which some subset is empty also gives its prefix (the
-smallest hashes, as many as any similar set must meet one of): two such sets
-meet there, and any other set meets it in a subset. No empty subset is ever a
-signature, so no signature is shared for want of content.
-
-Sets that share a signature are verified on their shingles, first each against
-one centre. Within a group whose members are joined already nothing is left to
-do; pairs of members of different components are verified against new centres,
-and at last one by one. No group is expanded into its pairs while one component
-holds it, and no link between different components is missed.
+enough share a band's instance as its lower or upper side, where their Hamming
+distance has one bound. An instance deals the shingle hashes into groups of
+partitions, so many that two similar sets differ in few partitions of all but
+a few groups, and each subset of a group's partitions (one of one, or two of
+three where the bound is small) gives a signature of the shingles in it. More
+groups than the bound asks for are kept in reserve: a set may do without as
+many groups as the reserve, so subsets that hold fewer than CONTENT shingles,
+which say little, give no signature. A set with more such groups than that is
+dealt anew by other seeds, and if it fails under all of them gives its prefix
+(the smallest hashes, as many as any similar set must meet one of). Of two
+similar sets either one has enough groups under some seed, or both give
+prefixes: no pair is missed.
+
+Each task sorts its own signatures and hands on one row a key, so a signature
+that a third of all sets share costs a row a task; its other members go
+straight to the member table. Sets that share a signature are compared first
+by sketches, whose differing bits are no more than differing shingles, then on
+their shingles: each against one centre of its group to begin with. Groups
+that one component holds need nothing more; pairs of members of different
+components meet new centres, and at last each other.
 
 Null or wordless text: no shingles, linked with nothing. Rows of one id are one
 document; a null id has no component. Shingles are known by 64-bit hashes.
@@ -27,10 +32,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from math import ceil, erf, exp, sqrt
+from math import ceil, erf, exp, factorial, sqrt
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,8 +50,15 @@ SHINGLE = 5
 # Similar: PERCENT of the union at least. The bounds below follow from 80.
 PERCENT = 80
 BAND = 1.5
-# Cross-component pairs that are verified one by one without further centres,
-# for each member of a group; beyond, new centres are tried first.
+# Shingles that a signature covers at least, and seeds that a set is dealt by
+# until it has enough such signatures.
+CONTENT, SEEDS = 2, 3
+SKETCH_BITS = 1024
+# Signatures that a task holds before it hands them on.
+HELD_SIGNATURES = 4_000_000
+# Rounds of centres at most, before pairs of different components are verified
+# one by one; at least one, and earlier where so few such pairs are left for
+# each member of a group.
 PAIRS_A_MEMBER = 4
 CENTRE_ROUNDS = 6
 # Candidate ids that may be sent to all tasks; more are met by a shuffle join.
@@ -126,10 +139,10 @@ class Instance:
     number: int
     low: int
     high: int
-    distance: int
+    distance: int  # bound of the Hamming distance of similar sets
     groups: int
     parts: int
-    spare: int
+    spare: int  # groups beyond those that similar sets may all differ in
 
 
 def need(size):
@@ -144,20 +157,26 @@ def hamming_bound(low: int, high: int) -> int:
 
 def cut_of(low: int, distance: int) -> tuple[int, int, int]:
     """Groups, partitions a group and spare groups with the fewest expected
-    signatures for a set a little above the lower bound."""
-    size = 1.15 * low
-    parts = 3 if distance <= 12 else 2
-    best = None
-    for spare in range(distance // 2 + 4):
-        groups = distance // 2 + 1 + spare
-        empty = exp(-size / (groups * parts))
-        weak = 1 - (1 - empty) ** 2 if parts == 2 else 3 * empty**2 - 2 * empty**3
-        spread = sqrt(max(groups * weak * (1 - weak), 1e-9))
-        sparse = 0.5 * (1 - erf((spare + 0.5 - groups * weak) / spread / sqrt(2)))
-        cost = groups * parts + sparse * (size - need(size) + 1)
-        if best is None or cost < best[0]:
-            best = (cost, groups, parts, spare)
-    return best[1:]
+    signatures for sets of the instance's sizes."""
+    parts = 3 if distance <= 12 else 1
+    # Groups in which similar sets may differ so much that no subset agrees.
+    broken = distance if parts == 1 else distance // 2
+
+    def cost(spare: int) -> float:
+        groups, total = broken + 1 + spare, 0.0
+        for size in (1.05 * low, 1.2 * low, 1.4 * low, 1.6 * low):
+            mean = size / groups * (1 if parts == 1 else 2 / 3)
+            thin = exp(-mean) * sum(mean**k / factorial(k) for k in range(CONTENT))
+            weak = min(1.0, thin * (1 if parts == 1 else 2.5))
+            spread = sqrt(max(groups * weak * (1 - weak), 1e-9))
+            sparse = 0.5 * (1 - erf((spare + 0.5 - groups * weak) / spread / sqrt(2)))
+            given = groups * parts * (1 - thin) * sum(sparse**k for k in range(SEEDS))
+            # Prefixes hold single shingles, which meet more sets for nothing.
+            total += given + 3 * sparse**SEEDS * (size - need(size) + 1)
+        return total
+
+    spare = min(range(broken + 4), key=cost)
+    return broken + 1 + spare, parts, spare
 
 
 @lru_cache(maxsize=None)
@@ -177,37 +196,47 @@ def bands(sizes: np.ndarray) -> np.ndarray:
     return np.searchsorted(highs, sizes)
 
 
-def instance_signatures(sets: Sets, rows: np.ndarray, of: Instance) -> tuple[np.ndarray, np.ndarray]:
+def instance_signatures(
+    sets: Sets, rows: np.ndarray, of: Instance, seed: int = 0
+) -> tuple[np.ndarray, np.ndarray]:
     """Row and signature, for rows whose size belongs to the instance."""
-    sizes = sets.sizes[rows]
-    starts = sets.offsets[rows]
+    sizes, starts = sets.sizes[rows], sets.offsets[rows]
+    owner = np.repeat(np.arange(len(rows)), sizes)
     h = sets.hashes[spans(starts, sizes)]
     cells = of.groups * of.parts
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    # Hashes are sorted within a row, so a row's partitions come in order.
+    if seed:
+        h = mix(h ^ np.uint64(seed))
     cell = owner * cells + ((h >> np.uint64(32)) * np.uint64(cells) >> np.uint64(32)).astype(np.int64)
+    if seed:  # else hashes, and so partitions, are in order within a row
+        order = np.argsort(cell, kind="stable")
+        cell, h = cell[order], h[order]
     first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
     with np.errstate(over="ignore"):
-        dense = np.zeros(len(rows) * cells, dtype=np.uint64)
-        dense[cell[first]] = np.add.reduceat(mix(h ^ P3), first)
-        held = np.zeros(len(rows) * cells, dtype=bool)
-        held[cell[first]] = True
-        dense = dense.reshape(len(rows), of.groups, of.parts)
-        held = held.reshape(dense.shape)
-        if of.parts > 2:  # all partitions of a group but one
-            dense = dense.sum(axis=2, keepdims=True, dtype=np.uint64) - dense
-            held = held.sum(axis=2, keepdims=True) - held > 0
+        sums = np.zeros(len(rows) * cells, dtype=np.uint64)
+        sums[cell[first]] = np.add.reduceat(mix(h ^ P3), first)
+        held = np.zeros(len(rows) * cells, dtype=np.int32)
+        held[cell[first]] = np.diff(np.r_[first, len(cell)])
+        sums = sums.reshape(len(rows), of.groups, of.parts)
+        held = held.reshape(sums.shape)
+        if of.parts > 1:  # all partitions of a group but one
+            sums = sums.sum(axis=2, keepdims=True, dtype=np.uint64) - sums
+            held = held.sum(axis=2, keepdims=True) - held
         place = np.arange(cells, dtype=np.uint64).reshape(1, of.groups, of.parts)
-        salt = mix(place + np.uint64(of.number << 32 | 1))
-        signatures = mix(dense ^ salt)
-        sparse = np.flatnonzero((~held).any(axis=2).sum(axis=1) > of.spare)
+        salt = mix(place + np.uint64(of.number << 40 | (seed + 1) << 32))
+        signatures = mix(sums ^ salt)
+    full = held >= CONTENT
+    owners = np.broadcast_to(np.arange(len(rows)).reshape(-1, 1, 1), full.shape)[full]
+    sparse = np.flatnonzero((~full).any(axis=2).sum(axis=1) > of.spare)
+    found = [(rows[owners], signatures[full])]
+    if len(sparse) and seed + 1 < SEEDS:
+        found.append(instance_signatures(sets, rows[sparse], of, seed + 1))
+    elif len(sparse):
         count = sizes[sparse] - need(sizes[sparse]) + 1
-        prefix = mix(sets.hashes[spans(starts[sparse], count)] ^ mix(np.array([of.number << 32], dtype=np.uint64)))
-    owners = np.broadcast_to(np.arange(len(rows)).reshape(-1, 1, 1), held.shape)[held]
-    return (
-        rows[np.r_[owners, np.repeat(sparse, count)]],
-        np.r_[signatures[held], prefix],
-    )
+        prefix = sets.hashes[spans(starts[sparse], count)]
+        found.append(
+            (np.repeat(rows[sparse], count), mix(prefix ^ mix(np.array([of.number << 40], dtype=np.uint64))))
+        )
+    return np.concatenate([r for r, _ in found]), np.concatenate([x for _, x in found])
 
 
 def signatures(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -220,21 +249,66 @@ def signatures(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         members = rows[(lower <= number) & (own >= number)]
         if of.distance and len(members):
             found.append(instance_signatures(sets, members, of))
-    return np.concatenate([r for r, _ in found]), np.concatenate([s for _, s in found])
+    return np.concatenate([r for r, _ in found]), np.concatenate([x for _, x in found])
+
+
+def sketches(sets: Sets) -> np.ndarray:
+    """Rows x WORDS bits of parity: each shingle flips one bit, so two sets
+    differ in as many shingles as their sketches in bits, at least."""
+    bit = mix(sets.hashes ^ P2) >> np.uint64(64 - SKETCH_BITS.bit_length() + 1)
+    row = np.repeat(np.arange(len(sets.offsets) - 1), sets.sizes)
+    places, times = np.unique(row * SKETCH_BITS + bit.astype(np.int64), return_counts=True)
+    bits = np.zeros((len(sets.offsets) - 1) * SKETCH_BITS, dtype=np.uint8)
+    bits[places[times % 2 == 1]] = 1
+    return np.packbits(bits, bitorder="little").view(np.uint64).reshape(-1, SKETCH_BITS // 64)
 
 
 # Spark
 
 
-SIGNATURE, DOCUMENT = 0, 1
+SIGNATURE, DOCUMENT, LOCAL = 0, 1, 2
 ROWS = "kind int, key bigint, node bigint, n bigint, check bigint"
+LISTS = "kind int, part int, " + ", ".join(f"{c} array<bigint>" for c in ("keys", "nodes", "ns", "checks"))
+
+
+def lists_of(kind: int, parts: list[int], bounds: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
+    """A row per part: the values between two bounds of each column."""
+    edges = pa.array(bounds.astype(np.int32))
+    values = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in columns]
+    empty = pa.array(np.zeros(len(bounds), np.int32))
+    lists = [pa.ListArray.from_arrays(edges, v) for v in values]
+    lists += [pa.ListArray.from_arrays(empty, pa.array([], pa.int64()))] * (4 - len(lists))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([kind] * len(parts), pa.int32()), pa.array(parts, pa.int32()), *lists],
+        names=["kind", "part", "keys", "nodes", "ns", "checks"],
+    )
 
 
-def emitted(docs: DataFrame, length: int) -> DataFrame:
-    """A row per signature of each distinct set of a task, and one per document."""
+def emitted(docs: DataFrame, length: int, parts: int) -> DataFrame:
+    """Signatures of each distinct set of a task and facts of each document, as
+    lists dealt to so many parts: by key, each key once with its first node.
+    Keys of several nodes come once more, with all of them."""
+
+    def handed_on(keys: np.ndarray, nodes: np.ndarray, turn: int) -> Iterator[pa.RecordBatch]:
+        order = np.argsort(keys, kind="stable")
+        keys, nodes = keys[order], nodes[order]
+        first = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
+        shared = np.zeros(len(keys), dtype=bool)
+        shared[lead[~first]] = True
+        shared |= ~first
+        part = (keys[first] >> np.uint64(40)) % np.uint64(parts)
+        deal = np.argsort(part, kind="stable")
+        bounds = np.searchsorted(part[deal], np.arange(parts + 1, dtype=np.uint64))
+        yield lists_of(SIGNATURE, list(range(parts)), bounds, keys[first][deal], nodes[first][deal])
+        cut = np.linspace(0, shared.sum(), 5).astype(int)
+        yield lists_of(
+            LOCAL, [(turn + k) % parts for k in range(4)], cut, keys[shared], nodes[shared], nodes[lead[shared]]
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        keys, nodes, held, turn = [], [], 0, 0
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column("text"), length)
             ids = batch.column("doc_id").to_numpy()
@@ -249,72 +323,57 @@ def emitted(docs: DataFrame, length: int) -> DataFrame:
             if len(seen) > 2_000_000:
                 seen.clear()
             row, signature = signatures(sets, np.array(new, dtype=np.int64))
-            none = np.zeros(len(row), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.r_[none, np.full(len(ids), DOCUMENT)].astype(np.int32)),
-                    pa.array(np.r_[signature, a].view(np.int64)),
-                    pa.array(np.r_[ids[row], ids]),
-                    pa.array(np.r_[none, sizes]),
-                    pa.array(np.r_[none, b.view(np.int64)]),
-                ],
-                names=["kind", "key", "node", "n", "check"],
-            )
-
-    return docs.mapInArrow(run, ROWS)
-
-
-def grouped(rows: DataFrame) -> DataFrame:
-    """Of rows sorted by key and node: documents as they are, and signature
-    rows of keys with two nodes or more, ``n`` being the first such node."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple[int, int] | None = None  # key and first node of the open group
-        told = False  # whether the first node has been handed on
-        for batch in batches:
-            kind, key, node, n, check = (c.to_numpy() for c in batch.columns)
-            if len(kind) and (kind == DOCUMENT).any():
-                own = pa.array(kind == DOCUMENT)
-                yield batch.filter(own)
-                keep = kind != DOCUMENT
-                key, node = key[keep], node[keep]
-            if not len(key):
-                continue
-            starts = np.r_[last is None or key[0] != last[0], key[1:] != key[:-1]]
-            first = np.maximum.accumulate(np.where(starts, np.arange(len(key)), -1))
-            centre = np.where(first >= 0, node[first], 0 if last is None else last[1])
-            # A node that occurs twice under one key is still one node.
-            other = ~starts & (node != centre)
-            again = np.zeros(len(key), dtype=bool)
-            again[1:] = (key[1:] == key[:-1]) & (node[1:] == node[:-1])
-            other &= ~again
-            group = np.cumsum(starts)
-            led = np.unique(group[other], return_index=True)
-            heads = np.flatnonzero(other)[led[1]]  # the second node of each group
-            if len(heads) and first[heads[0]] < 0 and told:
-                heads = heads[1:]
-            out_key = np.r_[key[other], key[heads]]
-            out_node = np.r_[node[other], centre[heads]]
-            out_centre = np.r_[centre[other], centre[heads]]
-            told = bool(other[group == group[-1]].any()) or (told and first[-1] < 0)
-            last = (int(key[-1]), int(centre[-1]))
-            none = np.zeros(len(out_key), np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(none.astype(np.int32)),
-                    pa.array(out_key),
-                    pa.array(out_node),
-                    pa.array(out_centre),
-                    pa.array(none),
-                ],
-                names=["kind", "key", "node", "n", "check"],
-            )
+            keys.append(signature)
+            nodes.append(ids[row])
+            held += len(row)
+            turn += 1
+            yield lists_of(DOCUMENT, [turn % parts], np.array([0, len(ids)]), a, ids, sizes, b)
+            if held > HELD_SIGNATURES:
+                yield from handed_on(np.concatenate(keys), np.concatenate(nodes), turn)
+                keys, nodes, held = [], [], 0
+        if held:
+            yield from handed_on(np.concatenate(keys), np.concatenate(nodes), turn)
+
+    return docs.mapInArrow(run, LISTS)
+
+
+def grouped(lists: DataFrame) -> DataFrame:
+    """Documents as rows, and (key, node) rows of keys with two nodes or more,
+    ``n`` being a node that the key's tasks or a task agree on."""
+
+    def flat(table: pa.Table, kind: int) -> list[np.ndarray]:
+        own = table.filter(pc.equal(table["kind"], kind))
+        return [
+            pc.list_flatten(own[c]).combine_chunks().to_numpy(zero_copy_only=False)
+            for c in ("keys", "nodes", "ns", "checks")
+        ]
+
+    def run(table: pa.Table) -> pa.Table:
+        keys, nodes, _, _ = flat(table, SIGNATURE)
+        order = np.argsort(keys, kind="stable")
+        keys, nodes = keys[order], nodes[order]
+        first = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
+        lead = np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))
+        shared = ~first
+        shared[lead[~first]] = True
+        local = flat(table, LOCAL)
+        documents = flat(table, DOCUMENT)
+        none = [np.zeros(shared.sum() + len(local[0]), np.int64)] * 2
+        return pa.table(
+            {
+                "kind": np.r_[none[0], np.full(len(documents[0]), DOCUMENT)].astype(np.int32),
+                "key": np.r_[keys[shared], local[0], documents[0]],
+                "node": np.r_[nodes[shared], local[1], documents[1]],
+                "n": np.r_[nodes[lead[shared]], local[2], documents[2]],
+                "check": np.r_[none[1], documents[3]],
+            }
+        )
 
-    return rows.mapInArrow(run, ROWS)
+    return lists.groupBy("part").applyInArrow(run, ROWS)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """node, n, hashes of the wanted documents, from their texts."""
+    """node, n, sketch, hashes of the wanted documents, from their texts."""
     if wanted.count() <= SENT_IDS:
         wanted = F.broadcast(wanted)
 
@@ -324,23 +383,42 @@ def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(sets.offsets.astype(np.int32)), pa.array(sets.hashes.view(np.int64))
             )
+            bits = pa.ListArray.from_arrays(
+                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (SKETCH_BITS // 64)),
+                pa.array(sketches(sets).ravel().view(np.int64)),
+            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets.sizes), lists], names=["node", "n", "hashes"]
+                [batch.column("doc_id"), pa.array(sets.sizes), bits, lists],
+                names=["node", "n", "sketch", "hashes"],
             )
 
     chosen = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
-    return chosen.mapInArrow(run, "node bigint, n bigint, hashes array<bigint>")
+    return chosen.mapInArrow(run, "node bigint, n bigint, sketch array<bigint>, hashes array<bigint>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar."""
+def side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
+    return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
-    def side(name: str) -> DataFrame:
-        return sets.select(
-            F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("hashes").alias(f"hashes_{name}")
-        )
 
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sizes and sketches do not rule them out."""
+    both = pairs.join(side(sets, "a", "n", "sketch"), "a").join(side(sets, "b", "n", "sketch"), "b")
+    size = F.col("n_a") + F.col("n_b")
+    bound = size - 2 * F.ceil(size * PERCENT / (100 + PERCENT))
+    differ = sum(
+        (
+            F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
+            for k in range(SKETCH_BITS // 64)
+        ),
+        F.lit(0),
+    )
+    smaller = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
+    return both.where(smaller & (differ <= bound)).select("a", "b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar."""
+    both = pairs.join(side(sets, "a", "n", "hashes"), "a").join(side(sets, "b", "n", "hashes"), "b")
     shared = F.size(F.array_intersect("hashes_a", "hashes_b"))
     union = F.col("n_a") + F.col("n_b") - shared
     return both.where(100 * shared >= PERCENT * union).select("a", "b")
@@ -354,13 +432,8 @@ def joined(
     folder = shared_folder(spark)
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = given.where("doc_id is not null")
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = (
-        emitted(rows, length)
-        .repartition(partitions, F.when(F.col("kind") == SIGNATURE, F.col("key")).otherwise(F.col("node")))
-        .sortWithinPartitions("kind", "key", "node")
-    )
-    found = stored(grouped(dealt), folder, "found")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found = stored(grouped(emitted(rows, length, parts)), folder, "found")
     documents = found.where(F.col("kind") == DOCUMENT).select(
         F.col("node").alias("doc_id"), "n", F.col("key").alias("a"), F.col("check").alias("b")
     )
@@ -380,26 +453,35 @@ def joined(
         "classes",
     )
     shifted = classed.where("class <> doc_id").select(F.col("doc_id").alias("node"), "class").distinct()
-    members = found.where(F.col("kind") == SIGNATURE).select("key", "node", F.col("n").alias("centre"))
-    # Members by class: equal sets have the same signatures.
+    members = found.where(F.col("kind") == SIGNATURE).select("key", "node")
+    # Members by class: equal sets have the same signatures. Of keys with the
+    # same members one is enough.
     members = stored(
         members.join(shifted, "node", "left")
         .select("key", F.coalesce("class", "node").alias("node"))
+        .repartition("key")
         .distinct(),
         folder,
         "members",
     )
+    same = members.groupBy("key").agg(
+        F.count("*").alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")
+    )
+    leading = same.where("c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key"))
+    members = stored(members.join(leading, "key", "left_semi"), folder, "groups")
     sets = stored(sets_of(rows, members.select("node").distinct(), length), folder, "sets").dropDuplicates(["node"])
     links = linked(members, sets, folder)
     given_component = components(links, folder, "components")
     result = classed.join(
         given_component, classed["class"] == given_component["node"], "left"
     ).select("doc_id", "n_shingles", F.coalesce("component", "class").alias("component_id"))
-    nameless = emitted(given.where("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text"), length)
+    nameless = given.where("doc_id is null").select(F.lit(0).cast("long").alias("doc_id"), "text")
     return result.unionByName(
-        nameless.where(F.col("kind") == DOCUMENT).select(
+        emitted(nameless, length, 1)
+        .where(F.col("kind") == DOCUMENT)
+        .select(
             F.lit(None).cast("long").alias("doc_id"),
-            F.col("n").alias("n_shingles"),
+            F.explode("ns").alias("n_shingles"),
             F.lit(None).cast("long").alias("component_id"),
         )
     )
@@ -436,7 +518,7 @@ def linked(members: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
             break
         within = apart.groupBy("key", "component").agg(F.count("*").alias("c"), F.first("size").alias("s"))
         pairs_left = within.agg(F.sum(F.col("c") * (F.col("s") - F.col("c"))) / 2).first()[0]
-        last = round_ == CENTRE_ROUNDS or pairs_left <= PAIRS_A_MEMBER * members_left
+        last = round_ == CENTRE_ROUNDS or (round_ > 0 and pairs_left <= PAIRS_A_MEMBER * members_left)
         if last:
             # Everyone outside a group's largest component against all others.
             largest = within.groupBy("key").agg(F.max_by("component", "c").alias("largest"))
@@ -468,7 +550,9 @@ def linked(members: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
                 .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
                 .distinct()
             )
-        pairs = stored(pairs.join(tried, ["a", "b"], "left_anti"), folder, f"pairs-{round_}")
+        pairs = stored(
+            possible(pairs.join(tried, ["a", "b"], "left_anti"), sets), folder, f"pairs-{round_}"
+        )
         links = links.union(stored(verified(pairs, sets), folder, f"links-{round_}"))
         if last:
             break
