@@ -67,13 +67,15 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each piece holds about SLICE_BYTES of text, one row at least."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that each piece holds about so many bytes of text, one row at least."""
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, length in enumerate(lengths):
-            if held and held + length > SLICE_BYTES:
+            if held and held + length > most:
                 yield batch.slice(start, row - start)
                 start, held = row, 0
             held += int(length)

@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calepin.llm.common import filled, fold, shared_folder, stored, text_slices
+from calepin.llm.common import SLICE_BYTES, filled, fold, shared_folder, stored, text_slices
 from calepin.llm.ppm import Scorer, Tally, Trie, gram_mask, text_grams, words_of
 
 ORDER = 4
@@ -123,7 +123,8 @@ def identified(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = scorer_of(name, shared) if languages else None
-        for batch in text_slices(batches):
+        # Each byte takes a number per language.
+        for batch in text_slices(batches, most=SLICE_BYTES // max(len(languages), 1)):
             texts = filled(batch.column("text"))
             letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
             if scorer is None:

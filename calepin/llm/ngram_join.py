@@ -8,20 +8,25 @@ partitions, so many that two similar sets differ in few partitions of all but
 a few groups, and each subset of a group's partitions (one of one, or two of
 three where the bound is small) gives a signature of the shingles in it. More
 groups than the bound asks for are kept in reserve: a set may do without as
-many groups as the reserve, so subsets that hold fewer than CONTENT shingles,
-which say little, give no signature. A set with more such groups than that is
-dealt anew by other seeds, and if it fails under all of them gives its prefix
-(the smallest hashes, as many as any similar set must meet one of). Of two
+many groups as the reserve, so an empty subset, which says nothing, gives no
+signature. A set with more such groups than that is dealt anew by other seeds,
+and if it fails under all of them gives its prefix (the first of its shingles
+in one fixed order, as many as any similar set must meet one of). Of two
 similar sets either one has enough groups under some seed, or both give
 prefixes: no pair is missed.
 
+Shingles that many documents of a bounded sample share (a licence line, a much
+quoted passage) stand last in the fixed order and outside the partitions:
+leaving the same shingles out of all sets only shortens distances. What the
+sample holds changes how many candidates arise, never the result.
+
 Each task sorts its own signatures and hands on one row a key, so a signature
 that a third of all sets share costs a row a task; its other members go
 straight to the member table. Sets that share a signature are compared first
 by sketches, whose differing bits are no more than differing shingles, then on
 their shingles: each against one centre of its group to begin with. Groups
 that one component holds need nothing more; pairs of members of different
-components meet new centres, and at last each other.
+components meet new centres while they are many, and at last each other.
 
 Null or wordless text: no shingles, linked with nothing. Rows of one id are one
 document; a null id has no component. Shingles are known by 64-bit hashes.
@@ -29,10 +34,10 @@ document; a null id has no component. Shingles are known by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from math import ceil, erf, exp, factorial, sqrt
+from math import ceil, erf, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -44,22 +49,24 @@ from calepin.llm.common import shared_folder, stored, text_slices
 from calepin.llm.components import components
 from calepin.llm.lm_scoring import hashes_of
 from calepin.llm.ppm import words_of
-from calepin.llm.tables import spans
+from calepin.llm.tables import LongTable, spans
 
 SHINGLE = 5
 # Similar: PERCENT of the union at least. The bounds below follow from 80.
 PERCENT = 80
-BAND = 1.5
-# Shingles that a signature covers at least, and seeds that a set is dealt by
-# until it has enough such signatures.
-CONTENT, SEEDS = 2, 3
+BAND = 1.25
+# Seeds that a set is dealt by until it has enough nonempty subsets.
+SEEDS = 2
+# Documents sampled for much used shingles, how many of them a shingle is in
+# at least, and how many such shingles are sent to the tasks at most.
+SAMPLE, USED, SENT_SHINGLES = 20_000, 5, 500_000
 SKETCH_BITS = 1024
 # Signatures that a task holds before it hands them on.
 HELD_SIGNATURES = 4_000_000
 # Rounds of centres at most, before pairs of different components are verified
 # one by one; at least one, and earlier where so few such pairs are left for
 # each member of a group.
-PAIRS_A_MEMBER = 4
+PAIRS_A_MEMBER = 20
 CENTRE_ROUNDS = 6
 # Candidate ids that may be sent to all tasks; more are met by a shuffle join.
 SENT_IDS = 1_000_000
@@ -88,6 +95,10 @@ class Sets:
     def sizes(self) -> np.ndarray:
         return np.diff(self.offsets)
 
+    def part(self, chosen: np.ndarray) -> Sets:
+        """The sets of those hashes that are chosen."""
+        return Sets(self.hashes[chosen], np.r_[0, np.cumsum(chosen)][self.offsets])
+
 
 def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> Sets:
     words, offsets = words_of(texts)
@@ -166,7 +177,7 @@ def cut_of(low: int, distance: int) -> tuple[int, int, int]:
         groups, total = broken + 1 + spare, 0.0
         for size in (1.05 * low, 1.2 * low, 1.4 * low, 1.6 * low):
             mean = size / groups * (1 if parts == 1 else 2 / 3)
-            thin = exp(-mean) * sum(mean**k / factorial(k) for k in range(CONTENT))
+            thin = exp(-mean)
             weak = min(1.0, thin * (1 if parts == 1 else 2.5))
             spread = sqrt(max(groups * weak * (1 - weak), 1e-9))
             sparse = 0.5 * (1 - erf((spare + 0.5 - groups * weak) / spread / sqrt(2)))
@@ -197,12 +208,13 @@ def bands(sizes: np.ndarray) -> np.ndarray:
 
 
 def instance_signatures(
-    sets: Sets, rows: np.ndarray, of: Instance, seed: int = 0
+    rare: Sets, used: Sets, rows: np.ndarray, of: Instance, seed: int = 0
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Row and signature, for rows whose size belongs to the instance."""
-    sizes, starts = sets.sizes[rows], sets.offsets[rows]
+    """Row and signature, for rows whose size belongs to the instance. A set is
+    the union of its rare and its much used shingles."""
+    sizes, starts = rare.sizes[rows], rare.offsets[rows]
     owner = np.repeat(np.arange(len(rows)), sizes)
-    h = sets.hashes[spans(starts, sizes)]
+    h = rare.hashes[spans(starts, sizes)]
     cells = of.groups * of.parts
     if seed:
         h = mix(h ^ np.uint64(seed))
@@ -210,12 +222,13 @@ def instance_signatures(
     if seed:  # else hashes, and so partitions, are in order within a row
         order = np.argsort(cell, kind="stable")
         cell, h = cell[order], h[order]
-    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+    first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]][: len(cell)])
     with np.errstate(over="ignore"):
         sums = np.zeros(len(rows) * cells, dtype=np.uint64)
-        sums[cell[first]] = np.add.reduceat(mix(h ^ P3), first)
         held = np.zeros(len(rows) * cells, dtype=np.int32)
-        held[cell[first]] = np.diff(np.r_[first, len(cell)])
+        if len(first):
+            sums[cell[first]] = np.add.reduceat(mix(h ^ P3), first)
+            held[cell[first]] = 1
         sums = sums.reshape(len(rows), of.groups, of.parts)
         held = held.reshape(sums.shape)
         if of.parts > 1:  # all partitions of a group but one
@@ -224,31 +237,39 @@ def instance_signatures(
         place = np.arange(cells, dtype=np.uint64).reshape(1, of.groups, of.parts)
         salt = mix(place + np.uint64(of.number << 40 | (seed + 1) << 32))
         signatures = mix(sums ^ salt)
-    full = held >= CONTENT
+    full = held > 0
     owners = np.broadcast_to(np.arange(len(rows)).reshape(-1, 1, 1), full.shape)[full]
-    sparse = np.flatnonzero((~full).any(axis=2).sum(axis=1) > of.spare)
     found = [(rows[owners], signatures[full])]
+    sparse = rows[(~full).any(axis=2).sum(axis=1) > of.spare]
     if len(sparse) and seed + 1 < SEEDS:
-        found.append(instance_signatures(sets, rows[sparse], of, seed + 1))
+        found.append(instance_signatures(rare, used, sparse, of, seed + 1))
     elif len(sparse):
-        count = sizes[sparse] - need(sizes[sparse]) + 1
-        prefix = sets.hashes[spans(starts[sparse], count)]
-        found.append(
-            (np.repeat(rows[sparse], count), mix(prefix ^ mix(np.array([of.number << 40], dtype=np.uint64))))
-        )
+        size = rare.sizes[sparse] + used.sizes[sparse]
+        count = size - need(size) + 1
+        own = np.minimum(count, rare.sizes[sparse])
+        rest = count - own
+        prefix = np.r_[
+            rare.hashes[spans(rare.offsets[sparse], own)], used.hashes[spans(used.offsets[sparse], rest)]
+        ]
+        owners = np.r_[np.repeat(sparse, own), np.repeat(sparse, rest)]
+        found.append((owners, mix(prefix ^ mix(np.array([of.number << 40], dtype=np.uint64)))))
     return np.concatenate([r for r, _ in found]), np.concatenate([x for _, x in found])
 
 
-def signatures(sets: Sets, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def signatures(
+    sets: Sets, rows: np.ndarray, much_used: LongTable | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Row and signature of the given rows, in all their instances."""
     sizes = sets.sizes[rows]
+    known = np.zeros(len(sets.hashes), bool) if much_used is None else much_used.find(sets.hashes) >= 0
+    rare, used = sets.part(~known), sets.part(known)
     own, lower = bands(sizes), bands(need(sizes))
     found = [(np.zeros(0, np.int64), np.zeros(0, np.uint64))]
     for number in np.unique(np.r_[own, lower]):
         of = instance(int(number))
         members = rows[(lower <= number) & (own >= number)]
         if of.distance and len(members):
-            found.append(instance_signatures(sets, members, of))
+            found.append(instance_signatures(rare, used, members, of))
     return np.concatenate([r for r, _ in found]), np.concatenate([x for _, x in found])
 
 
@@ -267,24 +288,27 @@ def sketches(sets: Sets) -> np.ndarray:
 
 
 SIGNATURE, DOCUMENT, LOCAL = 0, 1, 2
-ROWS = "kind int, key bigint, node bigint, n bigint, check bigint"
-LISTS = "kind int, part int, " + ", ".join(f"{c} array<bigint>" for c in ("keys", "nodes", "ns", "checks"))
+ROWS = "kind int, key bigint, node bigint, n bigint, check bigint, sketch array<bigint>"
+LIST_NAMES = ("keys", "nodes", "ns", "checks", "sketches")
+LISTS = "kind int, part int, " + ", ".join(f"{c} array<bigint>" for c in LIST_NAMES)
+SKETCH_WORDS = SKETCH_BITS // 64
 
 
 def lists_of(kind: int, parts: list[int], bounds: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    """A row per part: the values between two bounds of each column."""
-    edges = pa.array(bounds.astype(np.int32))
+    """A row per part: the values between two bounds of each column, and of the
+    fifth, which has SKETCH_WORDS values for each of theirs."""
+    edges = [pa.array((bounds * (SKETCH_WORDS if k == 4 else 1)).astype(np.int32)) for k in range(5)]
     values = [pa.array(c.view(np.int64) if c.dtype == np.uint64 else c.astype(np.int64)) for c in columns]
     empty = pa.array(np.zeros(len(bounds), np.int32))
-    lists = [pa.ListArray.from_arrays(edges, v) for v in values]
-    lists += [pa.ListArray.from_arrays(empty, pa.array([], pa.int64()))] * (4 - len(lists))
+    lists = [pa.ListArray.from_arrays(e, v) for e, v in zip(edges, values)]
+    lists += [pa.ListArray.from_arrays(empty, pa.array([], pa.int64()))] * (5 - len(lists))
     return pa.RecordBatch.from_arrays(
         [pa.array([kind] * len(parts), pa.int32()), pa.array(parts, pa.int32()), *lists],
-        names=["kind", "part", "keys", "nodes", "ns", "checks"],
+        names=["kind", "part", *LIST_NAMES],
     )
 
 
-def emitted(docs: DataFrame, length: int, parts: int) -> DataFrame:
+def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFrame:
     """Signatures of each distinct set of a task and facts of each document, as
     lists dealt to so many parts: by key, each key once with its first node.
     Keys of several nodes come once more, with all of them."""
@@ -307,6 +331,7 @@ def emitted(docs: DataFrame, length: int, parts: int) -> DataFrame:
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = LongTable(much_used.value) if much_used is not None else None
         seen: set[int] = set()
         keys, nodes, held, turn = [], [], 0, 0
         for batch in text_slices(batches):
@@ -322,12 +347,12 @@ def emitted(docs: DataFrame, length: int, parts: int) -> DataFrame:
                     new.append(row)
             if len(seen) > 2_000_000:
                 seen.clear()
-            row, signature = signatures(sets, np.array(new, dtype=np.int64))
+            row, signature = signatures(sets, np.array(new, dtype=np.int64), known)
             keys.append(signature)
             nodes.append(ids[row])
             held += len(row)
             turn += 1
-            yield lists_of(DOCUMENT, [turn % parts], np.array([0, len(ids)]), a, ids, sizes, b)
+            yield lists_of(DOCUMENT, [turn % parts], np.array([0, len(ids)]), a, ids, sizes, b, sketches(sets).ravel())
             if held > HELD_SIGNATURES:
                 yield from handed_on(np.concatenate(keys), np.concatenate(nodes), turn)
                 keys, nodes, held = [], [], 0
@@ -337,6 +362,41 @@ def emitted(docs: DataFrame, length: int, parts: int) -> DataFrame:
     return docs.mapInArrow(run, LISTS)
 
 
+def much_used_shingles(docs: DataFrame, length: int) -> np.ndarray:
+    """Hashes of shingles that many documents of a bounded sample hold."""
+    share = min(1.0, SAMPLE / max(docs.count(), 1))
+    drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        hashes, counts = [], []
+        for batch in text_slices(batches):
+            sets = shingle_sets(batch.column("text"), length)
+            a, _ = set_hashes(sets)
+            new = [row for row, key in enumerate(a.tolist()) if key not in seen and not seen.add(key)]
+            own, times = np.unique(sets.hashes[np.repeat(np.isin(np.arange(len(a)), new), sets.sizes)], return_counts=True)
+            hashes.append(own)
+            counts.append(times)
+        if hashes:
+            own, which = np.unique(np.concatenate(hashes), return_inverse=True)
+            times = np.bincount(which, weights=np.concatenate(counts))
+            # One in a task is left out: what many hold, some task meets twice.
+            own, times = own[times > 1], times[times > 1].astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(times)], names=["key", "times"])
+
+    used = (
+        docs.where(drawn)
+        .select("text")
+        .mapInArrow(run, "key bigint, times bigint")
+        .groupBy("key")
+        .agg(F.sum("times").alias("times"))
+        .where(F.col("times") >= USED)
+        .orderBy(F.desc("times"), "key")
+        .limit(SENT_SHINGLES)
+    )
+    return used.select("key").toArrow()["key"].to_numpy().view(np.uint64)
+
+
 def grouped(lists: DataFrame) -> DataFrame:
     """Documents as rows, and (key, node) rows of keys with two nodes or more,
     ``n`` being a node that the key's tasks or a task agree on."""
@@ -345,11 +405,11 @@ def grouped(lists: DataFrame) -> DataFrame:
         own = table.filter(pc.equal(table["kind"], kind))
         return [
             pc.list_flatten(own[c]).combine_chunks().to_numpy(zero_copy_only=False)
-            for c in ("keys", "nodes", "ns", "checks")
+            for c in LIST_NAMES
         ]
 
     def run(table: pa.Table) -> pa.Table:
-        keys, nodes, _, _ = flat(table, SIGNATURE)
+        keys, nodes, *_ = flat(table, SIGNATURE)
         order = np.argsort(keys, kind="stable")
         keys, nodes = keys[order], nodes[order]
         first = np.r_[True, keys[1:] != keys[:-1]][: len(keys)]
@@ -366,6 +426,15 @@ def grouped(lists: DataFrame) -> DataFrame:
                 "node": np.r_[nodes[shared], local[1], documents[1]],
                 "n": np.r_[nodes[lead[shared]], local[2], documents[2]],
                 "check": np.r_[none[1], documents[3]],
+                "sketch": pa.concat_arrays(
+                    [
+                        pa.nulls(len(none[0]), pa.list_(pa.int64())),
+                        pa.ListArray.from_arrays(
+                            pa.array(np.arange(len(documents[0]) + 1, dtype=np.int32) * SKETCH_WORDS),
+                            pa.array(documents[4]),
+                        ),
+                    ]
+                ),
             }
         )
 
@@ -373,7 +442,7 @@ def grouped(lists: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """node, n, sketch, hashes of the wanted documents, from their texts."""
+    """node, n, hashes of the wanted documents, from their texts."""
     if wanted.count() <= SENT_IDS:
         wanted = F.broadcast(wanted)
 
@@ -383,17 +452,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
             lists = pa.ListArray.from_arrays(
                 pa.array(sets.offsets.astype(np.int32)), pa.array(sets.hashes.view(np.int64))
             )
-            bits = pa.ListArray.from_arrays(
-                pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (SKETCH_BITS // 64)),
-                pa.array(sketches(sets).ravel().view(np.int64)),
-            )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sets.sizes), bits, lists],
-                names=["node", "n", "sketch", "hashes"],
+                [batch.column("doc_id"), pa.array(sets.sizes), lists], names=["node", "n", "hashes"]
             )
 
     chosen = docs.join(wanted, docs["doc_id"] == wanted["node"], "left_semi")
-    return chosen.mapInArrow(run, "node bigint, n bigint, sketch array<bigint>, hashes array<bigint>")
+    return chosen.mapInArrow(run, "node bigint, n bigint, hashes array<bigint>")
 
 
 def side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
@@ -408,7 +472,7 @@ def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     differ = sum(
         (
             F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
-            for k in range(SKETCH_BITS // 64)
+            for k in range(SKETCH_WORDS)
         ),
         F.lit(0),
     )
@@ -433,7 +497,8 @@ def joined(
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = given.where("doc_id is not null")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    found = stored(grouped(emitted(rows, length, parts)), folder, "found")
+    much_used = spark.sparkContext.broadcast(much_used_shingles(rows, length))
+    found = stored(grouped(emitted(rows, length, parts, much_used)), folder, "found")
     documents = found.where(F.col("kind") == DOCUMENT).select(
         F.col("node").alias("doc_id"), "n", F.col("key").alias("a"), F.col("check").alias("b")
     )
@@ -469,8 +534,8 @@ def joined(
     )
     leading = same.where("c > 1").groupBy("c", "x", "y").agg(F.min("key").alias("key"))
     members = stored(members.join(leading, "key", "left_semi"), folder, "groups")
-    sets = stored(sets_of(rows, members.select("node").distinct(), length), folder, "sets").dropDuplicates(["node"])
-    links = linked(members, sets, folder)
+    facts = found.where(F.col("kind") == DOCUMENT).select("node", "n", "sketch").dropDuplicates(["node"])
+    links = linked(members, facts, lambda nodes: sets_of(rows, nodes, length), folder)
     given_component = components(links, folder, "components")
     result = classed.join(
         given_component, classed["class"] == given_component["node"], "left"
@@ -487,8 +552,11 @@ def joined(
     )
 
 
-def linked(members: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
-    """Similar pairs (a, b) that join all members similar to one another."""
+def linked(
+    members: DataFrame, facts: DataFrame, shingles: Callable[[DataFrame], DataFrame], folder: str
+) -> DataFrame:
+    """Similar pairs (a, b) that join all members similar to one another.
+    ``facts`` has sizes and sketches, ``shingles`` gives the sets of nodes."""
     spark = members.sparkSession
     links = spark.createDataFrame([], "a long, b long")
     tried = spark.createDataFrame([], "a long, b long")
@@ -551,8 +619,10 @@ def linked(members: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
                 .distinct()
             )
         pairs = stored(
-            possible(pairs.join(tried, ["a", "b"], "left_anti"), sets), folder, f"pairs-{round_}"
+            possible(pairs.join(tried, ["a", "b"], "left_anti"), facts), folder, f"pairs-{round_}"
         )
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = stored(shingles(nodes), folder, f"sets-{round_}").dropDuplicates(["node"])
         links = links.union(stored(verified(pairs, sets), folder, f"links-{round_}"))
         if last:
             break

@@ -113,8 +113,9 @@ def test_signatures_of_all_similar_sets_meet():
             sets = ngram_join.Sets(np.r_[a, b], np.array([0, len(a), len(a) + len(b)]))
             if 100 * both < 80 * (len(a) + len(b) - both) or (both == len(a) == len(b)):
                 continue
-            row, signature = ngram_join.signatures(sets, np.arange(2))
-            assert set(signature[row == 0]) & set(signature[row == 1]), (small, size)
+            for used in (pool[:0], pool[: size // 8], pool[: small // 2 + 1], pool):
+                row, signature = ngram_join.signatures(sets, np.arange(2), ngram_join.LongTable(used))
+                assert set(signature[row == 0]) & set(signature[row == 1]), (small, size, len(used))
 
 
 def test_components_of_chains_and_stars(spark, tmp_path):
