@@ -26,6 +26,7 @@ from calepin.plans.controls import control_bookings  # noqa: E402
 from calepin.plans.publication import publish, publish_from_partials  # noqa: E402
 from calepin.plans.slots import process_slots  # noqa: E402
 from calepin.sources import feeds  # noqa: E402
+from calepin.sources.workspace import work_folder  # noqa: E402
 from calepin.streaming.ingest import ingest_new_drops  # noqa: E402
 from checks.fixtures import AS_OF, FIRST_DAY, WEEKS  # noqa: E402
 from checks.registry import QUERIES, deliver_bookings, deliver_slots  # noqa: E402
@@ -57,7 +58,9 @@ def run(df) -> None:
 
 def main() -> None:
     spark = session()
-    out = tempfile.mkdtemp(prefix="calepin-bench-")
+    shared = os.environ.get("BENCH_FOLDER") or tempfile.mkdtemp(prefix="calepin-bench-")
+    spark.conf.set("spark.checkpoint.dir", shared)
+    out = work_folder(shared)
     bookings = deliver_bookings(spark, SF_DIR, COPIES)
     slots = deliver_slots(spark, SF_DIR, COPIES)
     landing = f"{bookings}/rdv"
@@ -78,7 +81,7 @@ def main() -> None:
         ),
         "controls": lambda: control_bookings(spark, out, AS_OF)["resume"].collect(),
         "slots": lambda: process_slots(spark, f"{slots}/creneaux", out, AS_OF).collect(),
-        "ingest": lambda: ingest_new_drops(spark, landing, f"{out}/lots", tempfile.mkdtemp()),
+        "ingest": lambda: ingest_new_drops(spark, landing, work_folder(out), work_folder(out)),
         "centre_day": lambda: run(rollups.centre_day(stored())),
         "ars_daily": lambda: run(rollups.ars_daily(rollups.measured(stored()))),
         "weekly_hierarchy": lambda: run(rollups.weekly_hierarchy(rollups.measured(stored()), AS_OF)),

@@ -13,10 +13,10 @@ import datetime as dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whole years a nanosecond timestamp can hold, 1678 to 2261; dates beyond
-# (9999-12-31 as a placeholder, say) are invalid.
-YEAR = "(?:2[01][0-9]{2}|1[7-9][0-9]{2}|22[0-5][0-9]|226[01]|16[89][0-9]|167[89])"
-ISO_DAY = f"^({YEAR}-[0-9]{{1,2}}-[0-9]{{1,2}})$"
+# First and last day that a nanosecond timestamp can hold as a whole; dates
+# beyond (9999-12-31 as a placeholder, say) are invalid.
+DAY_BOUNDS = (dt.date(1677, 9, 22), dt.date(2262, 4, 11))
+ISO_DAY = "^([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})$"
 NUMBER = "([0-9]{1,2})"
 MARK = "[/.-]"
 OLD_YEAR = "(69|[7-9][0-9])"
@@ -39,10 +39,14 @@ def publication_window(
     return monday(as_day(first_day)), last
 
 
-def iso_day(text: Column) -> Column:
-    """``2021-01-08`` or ``2021-1-8``; null for anything else."""
-    # A text of another shape gives the empty string, which casts to null.
-    return F.regexp_extract(text, ISO_DAY, 1).try_cast("date")
+def iso_day(text: Column, bounds: tuple[dt.date, dt.date] = DAY_BOUNDS) -> Column:
+    """``2021-01-08`` or ``2021-1-8`` from the first to the last of ``bounds``,
+    both included; null for anything else."""
+    # A text of another shape gives the empty string, which casts to null. The
+    # one-element array keeps the expression single: it is named once.
+    day = F.regexp_extract(text, ISO_DAY, 1).try_cast("date")
+    low, high = (F.lit(bound) for bound in bounds)
+    return F.get(F.filter(F.array(day), lambda d: d.between(low, high)), F.lit(0))
 
 
 def _short_day_as_iso(text: Column) -> Column:
@@ -62,8 +66,9 @@ def booking_day(text: Column, operator: Column) -> Column:
 
 
 def free_day(text: Column) -> Column:
-    """Date in any usual numeric form, month first where both readings fit;
-    a time of day is ignored."""
+    """Day in any usual numeric form, month first where both readings fit. The
+    time of day and what is not a date are not part of it: slots keep the
+    delivered text beside the day."""
     day = F.substring_index(F.substring_index(text, " ", 1), "T", 1)
     iso = day
     for shape, form in (
@@ -78,9 +83,13 @@ def free_day(text: Column) -> Column:
 
 def strict_iso_day(text: Column, name: str) -> Column:
     """ISO date; a text that is not one fails the job, in any ANSI mode."""
-    day = iso_day(text)
-    message = F.concat(F.lit(f"{name} is not a date: "), text)
-    return F.when(text.isNotNull() & day.isNull(), F.raise_error(message)).otherwise(day)
+    return or_fail(iso_day(text), text, f"{name} is not a date: ")
+
+
+def or_fail(value: Column, text: Column, message: str) -> Column:
+    """The value read from a text; a text without a value fails the job."""
+    failure = F.raise_error(F.concat(F.lit(message), text))
+    return F.when(text.isNotNull() & value.isNull(), failure).otherwise(value)
 
 
 def week_start(day: Column) -> Column:

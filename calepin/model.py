@@ -27,30 +27,113 @@ BOOSTER_WORDS = ("RAPPEL", "3", "IMMUN", "TROIS")
 # What a blank count looks like in the keldoc slot files.
 SLOT_BLANK = " -   "
 
-# Region code, region short name, departments.
-REGIONS = (
-    ("01", "GDP", "971"),
-    ("02", "MAR", "972"),
-    ("03", "GUY", "973"),
-    ("04", "REU", "974"),
-    ("06", "MAY", "976"),
-    ("11", "IDF", "75 77 78 91 92 93 94 95"),
-    ("24", "CVL", "18 28 36 37 41 45"),
-    ("27", "BFC", "21 25 39 58 70 71 89 90"),
-    ("28", "NOR", "14 27 50 61 76"),
-    ("32", "HDF", "02 59 60 62 80"),
-    ("44", "GES", "08 10 51 52 54 55 57 67 68 88"),
-    ("52", "PDL", "44 49 53 72 85"),
-    ("53", "BRE", "22 29 35 56"),
-    ("75", "NAQ", "16 17 19 23 24 33 40 47 64 79 86 87"),
-    ("76", "OCC", "09 11 12 30 31 32 34 46 48 65 66 81 82"),
-    ("84", "ARA", "01 03 07 15 26 38 42 43 63 69 73 74"),
-    ("93", "PAC", "04 05 06 13 83 84"),
-    ("94", "COR", "2A 2B"),
+# Department, region code, region short name.
+TERRITORY = (
+    ("971", "01", "GDP"),
+    ("972", "02", "MAR"),
+    ("973", "03", "GUY"),
+    ("974", "04", "REU"),
+    ("976", "06", "MAY"),
+    ("75", "11", "IDF"),
+    ("77", "11", "IDF"),
+    ("78", "11", "IDF"),
+    ("91", "11", "IDF"),
+    ("92", "11", "IDF"),
+    ("93", "11", "IDF"),
+    ("94", "11", "IDF"),
+    ("95", "11", "IDF"),
+    ("18", "24", "CVL"),
+    ("28", "24", "CVL"),
+    ("36", "24", "CVL"),
+    ("37", "24", "CVL"),
+    ("41", "24", "CVL"),
+    ("45", "24", "CVL"),
+    ("21", "27", "BFC"),
+    ("25", "27", "BFC"),
+    ("39", "27", "BFC"),
+    ("58", "27", "BFC"),
+    ("70", "27", "BFC"),
+    ("71", "27", "BFC"),
+    ("89", "27", "BFC"),
+    ("90", "27", "BFC"),
+    ("14", "28", "NOR"),
+    ("27", "28", "NOR"),
+    ("50", "28", "NOR"),
+    ("61", "28", "NOR"),
+    ("76", "28", "NOR"),
+    ("02", "32", "HDF"),
+    ("59", "32", "HDF"),
+    ("60", "32", "HDF"),
+    ("62", "32", "HDF"),
+    ("80", "32", "HDF"),
+    ("08", "44", "GES"),
+    ("10", "44", "GES"),
+    ("51", "44", "GES"),
+    ("52", "44", "GES"),
+    ("54", "44", "GES"),
+    ("55", "44", "GES"),
+    ("57", "44", "GES"),
+    ("67", "44", "GES"),
+    ("68", "44", "GES"),
+    ("88", "44", "GES"),
+    ("44", "52", "PDL"),
+    ("49", "52", "PDL"),
+    ("53", "52", "PDL"),
+    ("72", "52", "PDL"),
+    ("85", "52", "PDL"),
+    ("22", "53", "BRE"),
+    ("29", "53", "BRE"),
+    ("35", "53", "BRE"),
+    ("56", "53", "BRE"),
+    ("16", "75", "NAQ"),
+    ("17", "75", "NAQ"),
+    ("19", "75", "NAQ"),
+    ("23", "75", "NAQ"),
+    ("24", "75", "NAQ"),
+    ("33", "75", "NAQ"),
+    ("40", "75", "NAQ"),
+    ("47", "75", "NAQ"),
+    ("64", "75", "NAQ"),
+    ("79", "75", "NAQ"),
+    ("86", "75", "NAQ"),
+    ("87", "75", "NAQ"),
+    ("09", "76", "OCC"),
+    ("11", "76", "OCC"),
+    ("12", "76", "OCC"),
+    ("30", "76", "OCC"),
+    ("31", "76", "OCC"),
+    ("32", "76", "OCC"),
+    ("34", "76", "OCC"),
+    ("46", "76", "OCC"),
+    ("48", "76", "OCC"),
+    ("65", "76", "OCC"),
+    ("66", "76", "OCC"),
+    ("81", "76", "OCC"),
+    ("82", "76", "OCC"),
+    ("01", "84", "ARA"),
+    ("03", "84", "ARA"),
+    ("07", "84", "ARA"),
+    ("15", "84", "ARA"),
+    ("26", "84", "ARA"),
+    ("38", "84", "ARA"),
+    ("42", "84", "ARA"),
+    ("43", "84", "ARA"),
+    ("63", "84", "ARA"),
+    ("69", "84", "ARA"),
+    ("73", "84", "ARA"),
+    ("74", "84", "ARA"),
+    ("04", "93", "PAC"),
+    ("05", "93", "PAC"),
+    ("06", "93", "PAC"),
+    ("13", "93", "PAC"),
+    ("83", "93", "PAC"),
+    ("84", "93", "PAC"),
+    ("2A", "94", "COR"),
+    ("2B", "94", "COR"),
 )
 
 # Mayotte is in the dimension but receives no regional file of its own.
-ARS_REGIONS = tuple(name for _, name, _ in REGIONS if name != "MAY")
+ARS_REGIONS = tuple(dict.fromkeys(name for _, _, name in TERRITORY if name != "MAY"))
 
 # Raw appointment fields, all text.
 RAW_BOOKING = (
@@ -91,9 +174,9 @@ SLOT_HEADERS = {
 }
 SLOT_ABSENT = {"maiia": ("nb_creneaux", "type_vaccin"), "keldoc": (), "doctolib": ()}
 
-# Normalised slot, in publication order.
+# Normalised slot, in publication order; ``date_texte`` is the date as delivered.
 SLOT = (
-    "date", "id_centre", "nom_centre", "cp_centre", "code_departement",
+    "date", "date_texte", "id_centre", "nom_centre", "cp_centre", "code_departement",
     "code_region", "region", "nb_heures", "nb_lignes", "nb_creneaux",
     "type_vaccin", "operateur",
 )

@@ -69,6 +69,7 @@ def normalize_slots(
     prepared = raw.withColumns(
         {
             "date": free_day(F.col("date")),
+            "date_texte": F.col("date"),
             "cp_centre": pad_slot_postcode(F.col("cp_centre")),
             **counts,
         }
@@ -90,7 +91,7 @@ def checked_bookings(
     """Valid and rejected appointments in one table, from one pass.
 
     Adds to the normalised columns ``motif_rejet`` (null if valid), two flags
-    on fields that were blank, and for rejected rows the delivered fields as
+    on fields that were blank, and for rejected rows the fields as checked in
     the struct ``brut``. Stored as columns this costs next to nothing, and the
     raw files need not be read a second time for rejects and figures.
     """
@@ -107,7 +108,8 @@ def checked_bookings(
 
 
 def stored_rejects(checked: DataFrame, as_of: str | dt.date) -> DataFrame:
-    """Rejected rows as delivered, out of ``checked_bookings``."""
+    """Rejected rows, out of ``checked_bookings``: as delivered but for the two
+    fields whose content is fixed per operator."""
     return checked.filter(F.col("motif_rejet").isNotNull()).select(
         "brut.*", "operateur", "motif_rejet", F.lit(as_day(as_of)).alias("date_traitement")
     )

@@ -25,7 +25,7 @@ from calepin.model import (
 )
 from calepin.operators.normalization import union_feeds
 
-# Keys of the published tables, under their published names.
+# Keys of the published tables, under their published names.
 DAILY_KEYS = (
     "code_region", "region", "departement", "id_centre", "nom_centre",
     "rang_vaccinal", "type_vaccin", "date_rdv",
@@ -40,7 +40,7 @@ WEEKLY_KEYS = {
     "national": ("rang_vaccinal", "date_debut_semaine"),
 }
 
-# Row order of the published files. The order of the centre table ends with
+# Row order of the published files. The order of the centre table ends with
 # the centre id, so that it is total.
 SORT_KEYS = {
     "centre": (
@@ -157,6 +157,11 @@ def weekly(
     return _sums(published_weeks(counted, as_of, first_day, weeks), WEEKLY_KEYS[level], measures)
 
 
+def coarser(finer: DataFrame, level: str) -> DataFrame:
+    """Weekly counts at one level out of the table of a finer one."""
+    return _sums(finer, WEEKLY_KEYS[level], ("nb",))
+
+
 def weekly_hierarchy(
     counted: DataFrame,
     as_of: str | dt.date,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from calepin.model import ARS_REGIONS, REGIONS
+from calepin.model import ARS_REGIONS, TERRITORY
 
 
 def territory_dimension(spark: SparkSession) -> DataFrame:
@@ -13,11 +13,7 @@ def territory_dimension(spark: SparkSession) -> DataFrame:
 
     A literal relation: its size is fixed by the country, not by the data.
     """
-    rows = ", ".join(
-        f"('{department}', '{code}', '{name}')"
-        for code, name, departments in REGIONS
-        for department in departments.split()
-    )
+    rows = ", ".join(f"('{department}', '{code}', '{name}')" for department, code, name in TERRITORY)
     return spark.sql(f"select * from values {rows} as t(code_departement, code_region, region)")
 
 

@@ -72,7 +72,8 @@ def valid_rows(tagged: DataFrame) -> DataFrame:
 
 
 def rejected_rows(tagged: DataFrame, as_of: str | dt.date, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Rejected rows as delivered, with operator, reason and processing date."""
+    """Rejected rows as checked (the fields that are fixed per operator hold
+    their fixed value), with operator, reason and processing date."""
     return tagged.filter(F.col("motif_rejet").isNotNull()).select(
         *keep,
         *RAW_BOOKING,
@@ -91,11 +92,29 @@ def reject_counts(tagged: DataFrame) -> DataFrame:
     )
 
 
-def with_every_operator(figures: DataFrame, expected: tuple[str, ...]) -> DataFrame:
-    """Figures per operator, with zeros for an expected one that has none."""
+def with_every_operator(
+    figures: DataFrame, expected: tuple[str, ...], constants: dict[str, object] | None = None
+) -> DataFrame:
+    """Figures per operator. An expected one that has none gets zero for each
+    count (``tot_``, ``err_`` and ``nb_`` columns), the ``constants``, and null
+    for the rest."""
     names = ", ".join(f"('{name}')" for name in expected)
     every = figures.sparkSession.sql(f"select * from values {names} as t(operateur)")
-    return every.join(figures, "operateur", "left").na.fill(0)
+    counts = [name for name in figures.columns if name.startswith(("tot_", "err_", "nb_"))]
+    filled = every.join(figures, "operateur", "left").na.fill(0, counts)
+    return filled.na.fill(constants) if constants else filled
+
+
+def row_figures() -> list[Column]:
+    return [
+        F.count("*").alias("tot_row"),
+        F.count_if(F.col("motif_rejet").isNotNull()).alias("err_row"),
+    ]
+
+
+def rate_figures(threshold: float) -> dict[str, Column]:
+    rate = F.when(F.col("tot_row") > 0, F.col("err_row") / F.col("tot_row"))
+    return {"taux_erreur": rate, "alerte": F.coalesce(rate > F.lit(float(threshold)), F.lit(False))}
 
 
 def error_report(
@@ -104,28 +123,27 @@ def error_report(
     threshold: float = DEFAULT_THRESHOLD,
     expected: tuple[str, ...] = (),
     also: list[Column] = (),
+    constants: dict[str, object] | None = None,
 ) -> DataFrame:
     """Rows, errors, error rate and alert per operator.
 
     Operators in ``expected`` that delivered nothing appear with no rows.
-    ``also`` are further aggregates to compute on the way.
+    ``also`` are further aggregates to compute on the way, ``constants`` their
+    values for an operator without rows.
     """
     report = tagged.groupBy("operateur").agg(
-        F.count("*").alias("tot_row"),
-        F.count_if(F.col("motif_rejet").isNotNull()).alias("err_row"),
+        *row_figures(),
         *also,
     )
     further = report.columns[3:]
     if expected:
-        report = with_every_operator(report, expected)
-    rate = F.when(F.col("tot_row") > 0, F.col("err_row") / F.col("tot_row"))
+        report = with_every_operator(report, expected, constants)
     return report.select(
         F.lit(as_day(as_of)).alias("date_traitement"),
         "operateur",
         "tot_row",
         "err_row",
-        rate.alias("taux_erreur"),
-        F.coalesce(rate > F.lit(float(threshold)), F.lit(False)).alias("alerte"),
+        *(column.alias(name) for name, column in rate_figures(threshold).items()),
         *further,
     )
 

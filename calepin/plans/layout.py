@@ -8,6 +8,8 @@ from calepin.functions.dates import as_day
 
 CHECKED = "rdv_controles"
 CENTRE_DAY = "centre_jour"
+DAILY = "rdv_jour"
+WEEKLY = "rdv_semaine"
 REJECTS = "rejets"
 ERROR_REPORT = "rapport_err"
 SLOTS = "creneaux"

@@ -12,12 +12,13 @@ from calepin.operators.rollups import (
     SORT_KEYS,
     ars_daily,
     centre_day_with_gaps,
+    coarser,
     excluded_rows,
     merge_rollup,
     weekly,
 )
 from calepin.plans import layout
-from calepin.sources.feeds import read_counted, read_normalized
+from calepin.sources.feeds import read_normalized, read_publication
 from calepin.sources.sinks import (
     write_by_region,
     write_csv,
@@ -33,6 +34,14 @@ OPEN_DATA = {
 }
 
 
+def store(df: DataFrame, out: str, table: str, as_of: str | dt.date) -> DataFrame:
+    """Store a table of one publication, and read it back."""
+    path = layout.stored(out, table)
+    write_publication(df, path, as_of)
+    schema = df.schema.add("date_publication", "date")
+    return read_publication(df.sparkSession, path, schema, as_of).drop("date_publication")
+
+
 def write_published_tables(
     counted: DataFrame,
     out: str,
@@ -41,24 +50,38 @@ def write_published_tables(
     weeks: int = DEFAULT_WEEKS,
     regions: tuple[str, ...] = ARS_REGIONS,
 ) -> None:
-    """Weekly tables, daily table whole and by region, and excluded rows."""
-    daily = ars_daily(counted)
+    """Weekly tables, daily table whole and by region, and excluded rows.
+
+    The daily and the weekly centre table are aggregated once and stored. Both
+    forms of the daily table come from it, and each weekly level from the one
+    below.
+    """
     path = partial(layout.published, out, as_of)
-    weekly_writes = [
-        partial(
-            write_csv,
-            weekly(counted, level, as_of, first_day, weeks),
-            path("opendata", name),
-            SORT_KEYS[level],
+    spark = counted.sparkSession
+
+    def write_weeks() -> None:
+        centre = store(weekly(counted, "centre", as_of, first_day, weeks), out, layout.WEEKLY, as_of)
+        tables = {"centre": centre, "departement": coarser(centre, "departement")}
+        for level, finer in (("region", "departement"), ("national", "region")):
+            tables[level] = coarser(tables[finer], level)
+        write_together(
+            spark,
+            *(
+                partial(write_csv, tables[level], path("opendata", name), SORT_KEYS[level])
+                for name, level in OPEN_DATA.items()
+            ),
         )
-        for name, level in OPEN_DATA.items()
-    ]
+
+    def write_days() -> None:
+        daily = store(ars_daily(counted), out, layout.DAILY, as_of)
+        write_together(
+            spark,
+            partial(write_csv, daily, path("prise_rdv"), SORT_KEYS["ars"]),
+            partial(write_by_region, daily, path("ars"), regions),
+        )
+
     write_together(
-        counted.sparkSession,
-        *weekly_writes,
-        partial(write_csv, daily, path("prise_rdv"), SORT_KEYS["ars"]),
-        partial(write_by_region, daily, path("ars"), regions),
-        partial(write_csv, excluded_rows(counted), path("exclusions")),
+        spark, write_weeks, write_days, partial(write_csv, excluded_rows(counted), path("exclusions"))
     )
 
 
@@ -68,9 +91,7 @@ def store_counted(counted: DataFrame, out: str, as_of: str | dt.date) -> DataFra
     All tables come from the stored counts: the appointments are aggregated
     once, and a lost executor costs a rollup and not that aggregation.
     """
-    path = layout.stored(out, layout.CENTRE_DAY)
-    write_publication(counted, path, as_of)
-    return read_counted(counted.sparkSession, path, as_of)
+    return store(counted, out, layout.CENTRE_DAY, as_of)
 
 
 def publish(

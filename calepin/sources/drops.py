@@ -7,6 +7,7 @@ files, whose name holds the day and the operator.
 from __future__ import annotations
 
 import datetime as dt
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,14 +25,11 @@ SLOT_DROP = _DROP.format(name=rf"([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})-({_OPERATOR}
 
 
 def list_paths(spark: SparkSession, folder: str) -> DataFrame:
-    """Paths of all CSV files under a folder; their content is not read."""
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv*")
-        .load(folder)
-        .select("path")
-    )
+    """Paths of all CSV files under a folder. Names alone are listed: no task
+    runs and no file is opened, whatever its size. A dated folder or a glob
+    keeps the list to what can count."""
+    files = spark.read.text(folder, recursiveFileLookup=True, pathGlobFilter="*.csv*").inputFiles()
+    return spark.createDataFrame([(unquote(path),) for path in files], "path string")
 
 
 def booking_drops(paths: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ changes nothing. Published tables are CSV folders.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -51,19 +52,39 @@ def write_partitions(df: DataFrame, path: str, *columns: str) -> None:
     )
 
 
+def swap_folder(spark: SparkSession, new: str, place: str) -> None:
+    """Put a complete new folder in the place of an old one. The old one goes
+    only when the new one stands; a run that fails before leaves it alone."""
+    jvm = spark._jvm.org.apache.hadoop.fs
+    new_path, place_path, old_path = (jvm.Path(x) for x in (new, place, f"{new}.old"))
+    files = place_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if files.exists(place_path) and not files.rename(place_path, old_path):
+        raise OSError(f"cannot move {place}")
+    if not files.rename(new_path, place_path):
+        files.rename(old_path, place_path)
+        raise OSError(f"cannot move {new} to {place}")
+    files.delete(old_path, True)
+
+
 def write_publication(
     df: DataFrame, path: str, as_of: str | dt.date, *columns: str, separator: str | None = None
 ) -> None:
     """Replace all that a table holds for one publication date, so that a
-    second run leaves nothing of the first. CSV if a separator is given."""
-    day = f"{path}/date_publication={as_day(as_of).isoformat()}"
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    second run leaves nothing of the first. CSV if a separator is given.
+
+    The rows are written beside the table's folders, under a name that readers
+    pass over, and then swapped in.
+    """
+    day = as_day(as_of).isoformat()
+    beside = f"{path}/_date_publication={day}.{uuid.uuid4().hex}"
+    writer = df.write
     if columns:
         writer = writer.partitionBy(*columns)
     if separator:
-        writer.options(**CSV_OPTIONS).option("sep", separator).csv(day)
+        writer.options(**CSV_OPTIONS).option("sep", separator).csv(beside)
     else:
-        writer.parquet(day)
+        writer.parquet(beside)
+    swap_folder(df.sparkSession, beside, f"{path}/date_publication={day}")
 
 
 def write_csv(

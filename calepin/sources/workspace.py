@@ -1,19 +1,10 @@
-"""Folder for intermediate tables."""
+"""Folders for intermediate tables."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
 
-
-def work_folder(spark: SparkSession) -> str:
-    """A fresh folder under the shared one the cluster names in
-    ``spark.checkpoint.dir``. Only a local session may do without."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        return f"{shared.rstrip('/')}/calepin-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="calepin-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+def work_folder(shared: str) -> str:
+    """A fresh folder below ``shared``, which all executors have to reach."""
+    return f"{shared.rstrip('/')}/calepin-{uuid.uuid4().hex}"

@@ -53,7 +53,10 @@ from (select o.*, c_mktsegment,
 RAW_SLOTS_SQL = """
 select l_orderkey, l_linenumber,
  case when l_orderkey % 3 = 0 then 'maiia' when l_orderkey % 3 = 1 then 'keldoc' else 'doctolib' end as operateur,
- case when l_orderkey % 3 = 1 then substr(d,9,2)||'/'||substr(d,6,2)||'/'||substr(d,1,4) else d end as date_brute,
+ case when l_orderkey % 101 = 0 then 'semaine ' || cast(l_linenumber as string)
+      when l_orderkey % 3 = 1 and l_orderkey % 5 = 0 then substr(d,9,2)||'/'||substr(d,6,2)||'/'||substr(d,1,4)||' 08:30:00'
+      when l_orderkey % 3 = 1 then substr(d,9,2)||'/'||substr(d,6,2)||'/'||substr(d,1,4)
+      when l_orderkey % 5 = 0 then d || ' 08:30:00' else d end as date_brute,
  'C' || cast(l_suppkey as string) as id_centre,
  'Centre ' || cast(l_suppkey as string) as nom_centre,
  case when l_suppkey % 23 = 0 then null

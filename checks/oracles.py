@@ -6,20 +6,37 @@ from checks.fixtures import RAW_BOOKINGS_SQL, RAW_SLOTS_SQL
 
 _BOOLEAN = "('f','F','FAUX','FALSE','false','t','T','VRAI','TRUE','true')"
 
+# Department, region code, region short name, by the official list.
 _DIMENSION = """
 dim as (
-  select unnest(string_split(departements, ' ')) as dep, reg, nom
-  from (values
-    ('01','GDP','971'), ('02','MAR','972'), ('03','GUY','973'), ('04','REU','974'),
-    ('06','MAY','976'), ('11','IDF','75 77 78 91 92 93 94 95'),
-    ('24','CVL','18 28 36 37 41 45'), ('27','BFC','21 25 39 58 70 71 89 90'),
-    ('28','NOR','14 27 50 61 76'), ('32','HDF','02 59 60 62 80'),
-    ('44','GES','08 10 51 52 54 55 57 67 68 88'), ('52','PDL','44 49 53 72 85'),
-    ('53','BRE','22 29 35 56'), ('75','NAQ','16 17 19 23 24 33 40 47 64 79 86 87'),
-    ('76','OCC','09 11 12 30 31 32 34 46 48 65 66 81 82'),
-    ('84','ARA','01 03 07 15 26 38 42 43 63 69 73 74'),
-    ('93','PAC','04 05 06 13 83 84'), ('94','COR','2A 2B')
-  ) as t(reg, nom, departements)
+  select * from (values
+    ('971', '01', 'GDP'), ('972', '02', 'MAR'), ('973', '03', 'GUY'), ('974', '04', 'REU'),
+    ('976', '06', 'MAY'), ('75', '11', 'IDF'), ('77', '11', 'IDF'), ('78', '11', 'IDF'),
+    ('91', '11', 'IDF'), ('92', '11', 'IDF'), ('93', '11', 'IDF'), ('94', '11', 'IDF'),
+    ('95', '11', 'IDF'), ('18', '24', 'CVL'), ('28', '24', 'CVL'), ('36', '24', 'CVL'),
+    ('37', '24', 'CVL'), ('41', '24', 'CVL'), ('45', '24', 'CVL'), ('21', '27', 'BFC'),
+    ('25', '27', 'BFC'), ('39', '27', 'BFC'), ('58', '27', 'BFC'), ('70', '27', 'BFC'),
+    ('71', '27', 'BFC'), ('89', '27', 'BFC'), ('90', '27', 'BFC'), ('14', '28', 'NOR'),
+    ('27', '28', 'NOR'), ('50', '28', 'NOR'), ('61', '28', 'NOR'), ('76', '28', 'NOR'),
+    ('02', '32', 'HDF'), ('59', '32', 'HDF'), ('60', '32', 'HDF'), ('62', '32', 'HDF'),
+    ('80', '32', 'HDF'), ('08', '44', 'GES'), ('10', '44', 'GES'), ('51', '44', 'GES'),
+    ('52', '44', 'GES'), ('54', '44', 'GES'), ('55', '44', 'GES'), ('57', '44', 'GES'),
+    ('67', '44', 'GES'), ('68', '44', 'GES'), ('88', '44', 'GES'), ('44', '52', 'PDL'),
+    ('49', '52', 'PDL'), ('53', '52', 'PDL'), ('72', '52', 'PDL'), ('85', '52', 'PDL'),
+    ('22', '53', 'BRE'), ('29', '53', 'BRE'), ('35', '53', 'BRE'), ('56', '53', 'BRE'),
+    ('16', '75', 'NAQ'), ('17', '75', 'NAQ'), ('19', '75', 'NAQ'), ('23', '75', 'NAQ'),
+    ('24', '75', 'NAQ'), ('33', '75', 'NAQ'), ('40', '75', 'NAQ'), ('47', '75', 'NAQ'),
+    ('64', '75', 'NAQ'), ('79', '75', 'NAQ'), ('86', '75', 'NAQ'), ('87', '75', 'NAQ'),
+    ('09', '76', 'OCC'), ('11', '76', 'OCC'), ('12', '76', 'OCC'), ('30', '76', 'OCC'),
+    ('31', '76', 'OCC'), ('32', '76', 'OCC'), ('34', '76', 'OCC'), ('46', '76', 'OCC'),
+    ('48', '76', 'OCC'), ('65', '76', 'OCC'), ('66', '76', 'OCC'), ('81', '76', 'OCC'),
+    ('82', '76', 'OCC'), ('01', '84', 'ARA'), ('03', '84', 'ARA'), ('07', '84', 'ARA'),
+    ('15', '84', 'ARA'), ('26', '84', 'ARA'), ('38', '84', 'ARA'), ('42', '84', 'ARA'),
+    ('43', '84', 'ARA'), ('63', '84', 'ARA'), ('69', '84', 'ARA'), ('73', '84', 'ARA'),
+    ('74', '84', 'ARA'), ('04', '93', 'PAC'), ('05', '93', 'PAC'), ('06', '93', 'PAC'),
+    ('13', '93', 'PAC'), ('83', '93', 'PAC'), ('84', '93', 'PAC'), ('2A', '94', 'COR'),
+    ('2B', '94', 'COR')
+  ) as t(dep, reg, nom)
 )"""
 
 # Raw rows, their parsed dates and their reject reason.
@@ -132,7 +149,8 @@ raw as ({RAW_SLOTS_SQL}),
 filled as (
   select * replace (
       case when operateur = 'maiia' then 'NR' else nb_creneaux end as nb_creneaux,
-      case when operateur = 'maiia' then 'NR' else type_vaccin end as type_vaccin)
+      case when operateur = 'maiia' then 'NR' else type_vaccin end as type_vaccin),
+    split_part(date_brute, ' ', 1) as jour
   from raw
 ),
 cps as (
@@ -144,8 +162,9 @@ deps as (select *, {_department("cp")} as dep_cp from cps),{_DIMENSION},
 slots as (
   select l_orderkey, l_linenumber,
     cast(case when operateur = 'keldoc'
-      then coalesce(try_strptime(date_brute, '%m/%d/%Y'), try_strptime(date_brute, '%d/%m/%Y'))
-      else try_strptime(date_brute, '%Y-%m-%d') end as date) as date,
+      then coalesce(try_strptime(jour, '%m/%d/%Y'), try_strptime(jour, '%d/%m/%Y'))
+      else try_strptime(jour, '%Y-%m-%d') end as date) as date,
+    date_brute as date_texte,
     id_centre, nom_centre, cp as cp_centre, dep_cp as code_departement,
     dim.reg as code_region, dim.nom as region,
     case when operateur = 'keldoc' and nb_heures = ' -   ' then null else nb_heures end as nb_heures,
@@ -157,7 +176,7 @@ slots as (
 
 _RAW_COLUMNS = """date_creation, date_rdv, id_centre, nom_centre, cp_centre, motif_rdv, rang_vaccinal,
   parcours_rdv, annee_naissance, honore, annule, type_vaccin, operateur"""
-_SLOT_COLUMNS = """date, id_centre, nom_centre, cp_centre, code_departement, code_region, region,
+_SLOT_COLUMNS = """date, date_texte, id_centre, nom_centre, cp_centre, code_departement, code_region, region,
   nb_heures, nb_lignes, nb_creneaux, type_vaccin, operateur"""
 
 _CENTRE_DAY = f"""with {_PUBLISHABLE}
@@ -301,7 +320,7 @@ select * from controle where num_semaine < 50 and rdv_non_honore > rdv_honore"""
     "normalized_creneaux": f"with {_SLOTS} select * from slots",
     "creneaux_union": f"with {_SLOTS} select * from slots",
     "creneaux_keldoc_clean": f"""with {_SLOTS}
-select l_orderkey, l_linenumber, date, nb_heures, nb_lignes, nb_creneaux
+select l_orderkey, l_linenumber, date, date_texte, nb_heures, nb_lignes, nb_creneaux
 from slots where operateur = 'keldoc'""",
     "creneaux_postcodes": f"""with {_SLOTS}
 select l_orderkey, l_linenumber, cp_centre as cp_brut, cp as cp_centre, dep_cp as code_departement
@@ -361,4 +380,56 @@ from slots group by operateur""",
     # Incremental ingest
     "ingest_bookings": _BOOKINGS,
     "ingest_centre_day": _CENTRE_DAY,
+    "ingest_corrected": _BOOKINGS,
+}
+
+# Figures of one feed, by the columns of the report.
+_FIGURES = """count(*) as tot_row, count(motif_rejet) as err_row,
+  count(motif_rejet) / count(*) > 0.001 as alerte,
+  count(*) filter (where motif_rejet is null and id_centre is null) as nb_id_centre_absent,
+  count(*) filter (where motif_rejet is null and annee_naissance is null) as nb_annee_naissance_absente,
+  max(year(jour)) filter (where motif_rejet is null) as annee_max"""
+
+ORACLES |= {
+    "ingest_rejects": ORACLES["job_rejects"],
+    "ingest_error_report": ORACLES["job_error_report"],
+    "job_daily_file": _ars(),
+    "job_regions": ORACLES["region_split"],
+    "job_exclusions": ORACLES["excluded_null_keys"],
+    "job_dimension": f"""with {_NORMALIZED}
+select {_COLUMNS.replace("region, motif", "case when region = 'IDF' then 'ILE' else region end as region, motif")}
+from norm""",
+    "job_missing_and_rejected": f"""with {_TAGGED}
+select operateur, {_FIGURES}, max(year(jour)) filter (where motif_rejet is null) >= 2022 as rdv_2022_ou_apres,
+  true as publie_un_vendredi
+from tagged where operateur = 'maiia' group by operateur
+union all
+select operateur, count(*), count(*), true, 0, 0, null, false, true
+from tagged where operateur = 'keldoc' group by operateur
+union all
+select 'doctolib', 0, 0, false, 0, 0, null, false, true""",
+    "scan_parts": f"""with raw as ({RAW_BOOKINGS_SQL})
+select * exclude (rdv_id) replace (
+  case when operateur = 'doctolib' then 'NR' else annee_naissance end as annee_naissance,
+  case when operateur = 'doctolib' and (rdv_id // 3) % 2 = 1 then 'NR' else motif_rdv end as motif_rdv)
+from raw""",
+    "published_order": f"""
+select niveau, count(*) as lignes, 0 as deplacees from ({_PUBLISHED}) q group by niveau
+union all
+select 'ars', count(*), 0 from ({_ars()}) q""",
+    "operator_whitelist": """
+with noms as (select o_orderkey, ['maiia', 'keldoc', 'doctolib', 'Maiia', 'autre', ''][o_orderkey % 6 + 1] as operateur
+  from orders)
+select o_orderkey, operateur, operateur in ('maiia', 'keldoc', 'doctolib') as connu from noms""",
+    "date_bounds": """
+with textes as (
+  select o_orderkey as rdv_id, case when o_orderkey % 2 = 0
+    then ['1677-09-21', '1677-09-22', '1677-10-01', '2262-02-01', '2262-04-11', '2262-04-12', '9999-12-31',
+      '0001-01-01'][o_orderkey % 8 + 1]
+    else cast(cast(o_orderdate as date) as varchar) end as brut
+  from orders
+)
+select rdv_id, brut, case when cast(brut as date) between date '1677-09-22' and date '2262-04-11'
+  then cast(brut as date) end as jour
+from textes""",
 }

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from calepin.functions import dates, postcodes, texts
@@ -20,7 +21,12 @@ from calepin.model import (
 )
 from calepin.operators import controls, quality, rollups, validation
 from calepin.operators.normalization import normalize_bookings, normalize_slots, union_feeds
-from calepin.operators.territory import region_extract, with_region
+from calepin.operators.territory import (
+    region_extract,
+    territory_dimension,
+    territory_from_tables,
+    with_region,
+)
 from calepin.plans import layout
 from calepin.plans.bookings import process_bookings
 from calepin.plans.controls import control_bookings
@@ -28,7 +34,13 @@ from calepin.plans.publication import OPEN_DATA, publish, publish_from_partials
 from calepin.plans.slots import process_slots
 from calepin.sources import drops, feeds, sinks
 from calepin.sources.workspace import work_folder
-from calepin.streaming.ingest import ingest_new_drops, ingested_bookings, ingested_centre_day
+from calepin.streaming.ingest import (
+    ingest_new_drops,
+    ingested_bookings,
+    ingested_centre_day,
+    ingested_figures,
+    ingested_rejects,
+)
 from checks.fixtures import AS_OF, FIRST_DAY, THRESHOLD, WEEKS, given, raw_bookings, raw_slots
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,6 +51,13 @@ QUERIES: dict[str, Query] = {}
 SNAPSHOT_DAY = "1998-06-15"
 
 
+def folder_for(spark: SparkSession) -> str:
+    """A work folder below ``spark.checkpoint.dir``; a session of one process
+    that names none, as in tests, gets a folder of its own."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    return work_folder(shared or tempfile.mkdtemp(prefix="calepin-"))
+
+
 def registered(query: Query) -> Query:
     QUERIES[query.__name__] = query
     return query
@@ -157,6 +176,18 @@ def date_parse(spark, sf_dir):
     )
 
 
+@registered
+def date_bounds(spark, sf_dir):
+    """Days around both ends of what counts as a date, among the others."""
+    ends = ("1677-09-21", "1677-09-22", "1677-10-01", "2262-02-01", "2262-04-11", "2262-04-12", "9999-12-31", "0001-01-01")
+    key = F.col("o_orderkey")
+    text = F.element_at(F.array(*map(F.lit, ends)), (key % len(ends) + 1).cast("int"))
+    delivered = F.when(key % 2 == 0, text).otherwise(F.col("o_orderdate").cast("date").cast("string"))
+    return given(spark, sf_dir, "orders").select(
+        key.alias("rdv_id"), delivered.alias("brut"), dates.iso_day(delivered).alias("jour")
+    )
+
+
 @registered
 def dep_from_cp(spark, sf_dir):
     padded = postcodes.pad_booking_postcode(F.col("cp_centre"))
@@ -293,7 +324,7 @@ def creneaux_keldoc_clean(spark, sf_dir):
     """Blank counts and guessed dates of the keldoc feed."""
     slots = normalize_slots(raw_slots(spark, sf_dir), _LINE)
     return slots.filter(F.col("operateur") == "keldoc").select(
-        *_LINE, "date", "nb_heures", "nb_lignes", "nb_creneaux"
+        *_LINE, "date", "date_texte", "nb_heures", "nb_lignes", "nb_creneaux"
     )
 
 
@@ -369,7 +400,7 @@ def repeated(df: DataFrame, copies: int) -> DataFrame:
 def deliver_bookings(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
     """Write the derived appointments as the operators' drops, each row
     ``copies`` times."""
-    folder = work_folder(spark)
+    folder = folder_for(spark)
     raw = repeated(raw_bookings(spark, sf_dir), copies)
     for name in OPERATORS:
         without = ("annee_naissance",) if name == "doctolib" else ()
@@ -384,7 +415,7 @@ def deliver_bookings(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
 def deliver_slots(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
     """Write the derived slots as the operators' drops, each row ``copies``
     times."""
-    folder = work_folder(spark)
+    folder = folder_for(spark)
     raw = repeated(raw_slots(spark, sf_dir), copies)
     for name in OPERATORS:
         columns = [
@@ -415,7 +446,7 @@ def scan_slots(spark, sf_dir):
 @registered
 def published_scan(spark, sf_dir):
     """Normalised appointments through a gzip CSV."""
-    path = f"{work_folder(spark)}/prise_rdv-raw"
+    path = f"{folder_for(spark)}/prise_rdv-raw"
     sinks.write_csv(normalized(spark, sf_dir).select(*BOOKING.fieldNames()), path, gzip=True)
     return feeds.read_published_bookings(spark, path)
 
@@ -423,7 +454,7 @@ def published_scan(spark, sf_dir):
 @registered
 def centre_day_scan(spark, sf_dir):
     """Centre-day counts through a CSV."""
-    path = f"{work_folder(spark)}/centre_jour"
+    path = f"{folder_for(spark)}/centre_jour"
     sinks.write_csv(centre_day(spark, sf_dir), path)
     return feeds.read_centre_day_csv(spark, path)
 
@@ -431,7 +462,7 @@ def centre_day_scan(spark, sf_dir):
 @registered
 def region_split(spark, sf_dir):
     """Daily counts through one CSV folder per region."""
-    path = f"{work_folder(spark)}/ars"
+    path = f"{folder_for(spark)}/ars"
     sinks.write_by_region(ars_daily(spark, sf_dir), path)
     table = spark.read.option("header", True).csv(path)
     return table.withColumns(
@@ -538,6 +569,133 @@ def slot_figures(spark, sf_dir):
     return process_slots(spark, f"{folder}/creneaux", f"{folder}/sortie", AS_OF)
 
 
+@registered
+def job_daily_file(spark, sf_dir):
+    """Drops to the published daily file."""
+    return daily_types(feeds.read_text_table(spark, layout.published(publication(spark, sf_dir), AS_OF, "prise_rdv")))
+
+
+@registered
+def job_regions(spark, sf_dir):
+    """Drops to the regional folders."""
+    path = layout.published(publication(spark, sf_dir), AS_OF, "ars")
+    return daily_types(spark.read.option("header", True).csv(path))
+
+
+@registered
+def job_exclusions(spark, sf_dir):
+    """Drops to the figures on excluded rows."""
+    table = feeds.read_text_table(spark, layout.published(publication(spark, sf_dir), AS_OF, "exclusions"))
+    return table.select(*(F.col(c).cast("long").alias(c) for c in table.columns))
+
+
+def publication(spark: SparkSession, sf_dir: str) -> str:
+    out = processed(spark, sf_dir)
+    publish(spark, out, AS_OF, FIRST_DAY, WEEKS)
+    return out
+
+
+def daily_types(table: DataFrame) -> DataFrame:
+    return table.withColumns(
+        {
+            "date_rdv": F.col("date_rdv").cast("date"),
+            **{name: F.col(name).cast("long") for name in rollups.MEASURES},
+        }
+    )
+
+
+@registered
+def published_order(spark, sf_dir):
+    """Rows of each published file and how many stand before their forerunner,
+    read in the order of the part files."""
+    out = publication(spark, sf_dir)
+    files = {**{("opendata", name): level for name, level in OPEN_DATA.items()}, ("prise_rdv",): "ars"}
+    counts = []
+    for parts, level in files.items():
+        table = spark.read.option("header", True).csv(layout.published(out, AS_OF, *parts))
+        place = Window.orderBy("fichier", "numero")
+        key = F.struct(*rollups.SORT_KEYS[level])
+        ordered = table.select(
+            key.alias("cle"),
+            F.col("_metadata.file_name").alias("fichier"),
+            F.monotonically_increasing_id().alias("numero"),
+        ).select("cle", F.lag("cle").over(place).alias("avant"))
+        counts.append(
+            ordered.agg(F.count("*").alias("lignes"), F.count_if(F.col("avant") > F.col("cle")).alias("deplacees"))
+            .withColumn("niveau", F.lit(level))
+        )
+    return reduce(DataFrame.unionByName, counts)
+
+
+@registered
+def job_dimension(spark, sf_dir):
+    """Drops to normalised appointments by delivered department and region
+    tables, in which one region has another name."""
+    folder = deliver_bookings(spark, sf_dir)
+    dimension = territory_dimension(spark)
+    sinks.write_csv(dimension.select(F.col("code_departement").alias("dep"), F.col("code_region").alias("reg")), f"{folder}/dep")
+    names = dimension.select(F.col("code_region").alias("reg"), "region").distinct()
+    renamed = F.when(F.col("region") == "IDF", F.lit("ILE")).otherwise(F.col("region"))
+    sinks.write_csv(names.select("reg", renamed.alias("libelle3")), f"{folder}/reg")
+    delivered = territory_from_tables(
+        feeds.read_dimension(spark, f"{folder}/dep"), feeds.read_dimension(spark, f"{folder}/reg")
+    )
+    process_bookings(spark, f"{folder}/rdv", f"{folder}/sortie", AS_OF, THRESHOLD, dimension=delivered)
+    return feeds.read_normalized(spark, layout.stored(f"{folder}/sortie", layout.CHECKED), AS_OF)
+
+
+@registered
+def job_missing_and_rejected(spark, sf_dir):
+    """The report with one feed missing and one all of whose rows are rejected."""
+    folder = folder_for(spark)
+    raw = raw_bookings(spark, sf_dir)
+    for name in ("maiia", "keldoc"):
+        own = raw.filter(F.col("operateur") == name)
+        if name == "keldoc":
+            own = own.withColumn("cp_centre", F.lit("?"))
+        sinks.write_csv(own.select(*RAW_BOOKING), f"{folder}/rdv/{AS_OF}-{name}-rdv.csv", separator=SEPARATORS[name])
+    report = process_bookings(spark, f"{folder}/rdv", f"{folder}/sortie", AS_OF, THRESHOLD)
+    return report.drop("date_traitement", "taux_erreur")
+
+
+@registered
+def scan_parts(spark, sf_dir):
+    """Drops in part files, some with their columns turned round and those of
+    doctolib without the optional one."""
+    folder = folder_for(spark)
+    raw = raw_bookings(spark, sf_dir)
+    columns = {
+        "maiia": (RAW_BOOKING, RAW_BOOKING[::-1]),
+        "keldoc": (RAW_BOOKING, (*RAW_BOOKING[5:], *RAW_BOOKING[:5])),
+        "doctolib": tuple(
+            tuple(c for c in RAW_BOOKING if c not in without)
+            for without in (("annee_naissance",), ("annee_naissance", "motif_rdv"))
+        ),
+    }
+    for name, forms in columns.items():
+        for k, form in enumerate(forms):
+            own = raw.filter((F.col("operateur") == name) & (F.floor(F.col("rdv_id") / 3) % 2 == k))
+            path = f"{folder}/rdv/{AS_OF}-{name}-rdv.csv/partie-{k}.csv"
+            sinks.write_csv(own.select(*form), path, separator=SEPARATORS[name])
+    return feeds.read_bookings(spark, drops.chosen_drops(spark, f"{folder}/rdv", AS_OF))
+
+
+@registered
+def operator_whitelist(spark, sf_dir):
+    """Operators as delivered, and whether the check lets them pass."""
+
+    def known(name: str) -> bool:
+        try:
+            return validation.check_operator(name) == name
+        except ValueError:
+            return False
+
+    names = (*OPERATORS, "Maiia", "autre", "")
+    passes = F.element_at(F.create_map(*(F.lit(x) for name in names for x in (name, known(name)))), F.col("operateur"))
+    name = F.element_at(F.array(*map(F.lit, names)), (F.col("o_orderkey") % len(names) + 1).cast("int"))
+    return given(spark, sf_dir, "orders").select("o_orderkey", name.alias("operateur")).withColumn("connu", passes)
+
+
 # Incremental ingest
 
 
@@ -545,7 +703,34 @@ def ingested(spark: SparkSession, sf_dir: str) -> str:
     """Two runs over the drops; the second finds nothing new."""
     folder = deliver_bookings(spark, sf_dir)
     for _ in range(2):
-        ingest_new_drops(spark, f"{folder}/rdv", f"{folder}/sortie", f"{folder}/suivi")
+        ingest_new_drops(spark, f"{folder}/rdv", f"{folder}/sortie", f"{folder}/suivi", threshold=THRESHOLD)
+    return f"{folder}/sortie"
+
+
+def corrected(spark: SparkSession, sf_dir: str) -> str:
+    """An earlier drop and a second one of the same day, the first delivered
+    again with other content under its name, then the drops that count."""
+    folder = folder_for(spark)
+    raw = raw_bookings(spark, sf_dir)
+
+    def deliver(name: str, path: str, rows: DataFrame) -> None:
+        without = ("annee_naissance",) if name == "doctolib" else ()
+        sinks.write_csv(
+            rows.filter(F.col("operateur") == name).select(*(c for c in RAW_BOOKING if c not in without)),
+            f"{folder}/rdv/{path}",
+            separator=SEPARATORS[name],
+        )
+
+    run = lambda: ingest_new_drops(
+        spark, f"{folder}/rdv", f"{folder}/sortie", f"{folder}/suivi", threshold=THRESHOLD
+    )
+    deliver("doctolib", "17-12-2021_vaccination_appointments.csv", raw.filter("rdv_id % 2 = 0"))
+    deliver("maiia", f"{AS_OF}-maiia-rdv.csv", raw.filter("rdv_id % 5 = 0"))
+    run()
+    deliver("doctolib", f"{AS_OF}-doctolib-rdv.csv", raw)
+    deliver("keldoc", f"{AS_OF}-keldoc-rdv.csv", raw)
+    deliver("maiia", f"{AS_OF}-maiia-rdv.csv", raw)
+    run()
     return f"{folder}/sortie"
 
 
@@ -554,6 +739,24 @@ def ingest_bookings(spark, sf_dir):
     return ingested_bookings(spark, ingested(spark, sf_dir))
 
 
+@registered
+def ingest_corrected(spark, sf_dir):
+    """Two drops a day and a corrected one give what the batch job gives."""
+    return ingested_bookings(spark, corrected(spark, sf_dir), AS_OF)
+
+
+@registered
+def ingest_rejects(spark, sf_dir):
+    return ingested_rejects(spark, corrected(spark, sf_dir), AS_OF)
+
+
+@registered
+def ingest_error_report(spark, sf_dir):
+    return ingested_figures(spark, corrected(spark, sf_dir), AS_OF).select(
+        "operateur", "tot_row", "err_row", "alerte", "nb_id_centre_absent", "nb_annee_naissance_absente", "annee_max"
+    )
+
+
 @registered
 def ingest_centre_day(spark, sf_dir):
     return rollups.with_complete_keys(ingested_centre_day(spark, ingested(spark, sf_dir)))

@@ -2,6 +2,7 @@
 
 import datetime as dt
 import gzip
+import os
 from pathlib import Path
 
 import pytest
@@ -21,6 +22,8 @@ from calepin.streaming.ingest import (
     ingest_new_drops,
     ingested_bookings,
     ingested_centre_day,
+    ingested_figures,
+    ingested_rejects,
     store_lot,
 )
 
@@ -60,10 +63,51 @@ def test_drop_may_be_a_folder_of_part_files(spark, tmp_path):
     assert feeds.read_bookings(spark, chosen).count() == 2
 
 
-def test_listing_reads_no_content(spark, tmp_path):
-    put(tmp_path / "2021-03-08-maiia-rdv.csv", HEADER)
-    plan = drops.list_paths(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<path:string>" in plan
+def test_listing_runs_no_task(spark, tmp_path):
+    put(tmp_path / "a b/2021-03-08-maiia-rdv.csv", HEADER)
+    (tmp_path / "2021-03-09-maiia-rdv.csv").write_text("x\n" * 3_000_000)
+    paths = drops.list_paths(spark, str(tmp_path))
+    assert "FileScan" not in paths._jdf.queryExecution().executedPlan().toString()
+    assert {Path(r.path).name for r in paths.collect()} == {"2021-03-08-maiia-rdv.csv", "2021-03-09-maiia-rdv.csv"}
+    assert list(drops.chosen_drops(spark, str(tmp_path), "2021-03-08")) == ["maiia"]
+
+
+def test_a_stray_quote_keeps_lines_apart(spark, tmp_path):
+    path = put(tmp_path / "x.csv", HEADER, LINE.replace("Mairie", 'Salle 12" bis'), LINE)
+    rows = feeds.read_booking_drop(spark, "maiia", path).collect()
+    assert [r.nom_centre for r in rows] == ['Salle 12" bis', "Mairie"]
+
+
+def test_parts_are_read_by_their_own_header(spark, tmp_path):
+    folder = tmp_path / "2021-03-08-maiia-rdv.csv"
+    columns, values = HEADER.split(","), LINE.split(",")
+    put(folder / "part-a.csv", HEADER, LINE)
+    put(folder / "part-b.csv", ",".join(columns[::-1]), ",".join(values[::-1]))
+    first, second = feeds.read_booking_drop(spark, "maiia", str(folder)).collect()
+    assert first == second and first.id_centre == "C1"
+
+
+def test_a_bad_count_fails(spark, tmp_path):
+    names = (*rollups.CENTRE_DAY_KEYS, *rollups.MEASURES)
+    row = ["2021-03-01", *["x"] * 9, "1", "2", "abc"]
+    path = put(tmp_path / "c.csv", ",".join(names), ",".join(row))
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="not a whole number"):
+            feeds.read_centre_day_csv(spark, path).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_a_failed_run_leaves_the_old_publication(spark, tmp_path):
+    path = str(tmp_path / "t")
+    sinks.write_publication(spark.range(3), path, "2021-12-17")
+    broken = spark.range(5).select(F.raise_error(F.lit("no")).alias("id"))
+    with pytest.raises(Exception):
+        sinks.write_publication(broken, path, "2021-12-17")
+    assert spark.read.parquet(path).count() == 3
+    sinks.write_publication(spark.range(7), path, "2021-12-17")
+    assert spark.read.parquet(path).count() == 7
 
 
 def test_columns_go_by_name_and_blanks_to_null(spark, tmp_path):
@@ -76,7 +120,8 @@ def test_columns_go_by_name_and_blanks_to_null(spark, tmp_path):
 
 def test_line_breaks_inside_fields(spark, tmp_path):
     path = put(tmp_path / "x.csv", HEADER, LINE.replace("dose", '"dose\nun"'), LINE)
-    assert sorted(r.motif_rdv for r in feeds.read_booking_drop(spark, "maiia", path).collect()) == ["dose", "dose\nun"]
+    rows = feeds.read_booking_drop(spark, "maiia", path, multi_line=True).collect()
+    assert sorted(r.motif_rdv for r in rows) == ["dose", "dose\nun"]
 
 
 def test_separator_and_optional_column(spark, tmp_path):
@@ -157,8 +202,8 @@ def test_a_large_region_is_spread_over_tasks(spark, tmp_path):
     assert len(list((tmp_path / "ars" / f"region_part={ARS_REGIONS[0]}").glob("part-*"))) > 1
 
 
-def test_work_folder_is_the_shared_one(spark):
-    assert work_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+def test_work_folder_is_below_the_one_given():
+    assert work_folder("/shared/").startswith("/shared/calepin-") and work_folder("/a") != work_folder("/a")
 
 
 @pytest.fixture
@@ -238,7 +283,7 @@ def test_slots_job(spark, tmp_path):
         figures = {r.operateur: tuple(r)[1:] for r in process_slots(spark, str(tmp_path / "c"), out, "2021-12-17").collect()}
         assert figures == {"keldoc": (2, 1, 1), "maiia": (0, 0, 0), "doctolib": (0, 0, 0)}
         assert published_rows(spark, out, "creneaux")[0] == (
-            "2021-01-02", "C1", "N", "02100", "02", "32", "HDF", "2", "1", None, "Pfizer", "keldoc",
+            "2021-01-02", "01/02/2021", "C1", "N", "02100", "02", "32", "HDF", "2", "1", None, "Pfizer", "keldoc",
         )
 
 
@@ -263,6 +308,33 @@ def test_a_repeated_lot_replaces_itself(spark, landing, tmp_path):
     out = str(tmp_path / "lots")
     files = drops.list_paths(spark, str(landing))
     for _ in range(2):
-        store_lot(files, 7, out)
+        store_lot(files, out)
     assert ingested_bookings(spark, out).count() == 6
-    assert spark.read.parquet(f"{out}/{CHECKED_LOTS}").select("lot").distinct().count() == 1
+    assert spark.read.parquet(f"{out}/{CHECKED_LOTS}").select("lot").distinct().count() == 3
+
+
+def test_a_corrected_file_replaces_its_lot(spark, landing, tmp_path):
+    out, checkpoint = str(tmp_path / "lots"), str(tmp_path / "suivi")
+    run = lambda: ingest_new_drops(spark, str(landing), out, checkpoint)
+    run()
+    figures = {r.operateur: r for r in ingested_figures(spark, out, "2021-12-17").collect()}
+    assert (figures["maiia"].tot_row, figures["maiia"].err_row, figures["maiia"].alerte) == (6, 2, True)
+    assert ingested_rejects(spark, out, "2021-12-17").count() == 2
+    path = landing / "maiia/2021-12-16-maiia-rdv.csv"
+    put(path, HEADER, LINE)
+    os.utime(path, (2_000_000_000, 2_000_000_000))
+    run()
+    assert ingested_bookings(spark, out, "2021-12-17").count() == 2
+    assert ingested_rejects(spark, out).count() == 0
+    assert ingested_centre_day(spark, out).agg(F.sum("nb")).first()[0] == 3
+
+
+def test_one_drop_a_day_counts(spark, landing, tmp_path):
+    put(landing / "doctolib/2021-12-17-doctolib-rdv.csv", HEADER, LINE)
+    put(landing / "doctolib/17-12-2021_vaccination_appointments.csv", HEADER, LINE, LINE)
+    out = str(tmp_path / "sortie")
+    process_bookings(spark, str(landing), out, "2021-12-17")
+    ingest_new_drops(spark, str(landing), f"{out}/lots", str(tmp_path / "suivi"))
+    batch = feeds.read_normalized(spark, layout.stored(out, layout.CHECKED), "2021-12-17")
+    ingested = ingested_bookings(spark, f"{out}/lots", "2021-12-17")
+    assert sorted(map(repr, batch.collect())) == sorted(map(repr, ingested.collect()))

@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from calepin.model import ARS_REGIONS, BOOKING, CENTRE_DAY_KEYS, MEASURES, OPERATORS, RAW_BOOKING, REGIONS
+from calepin.model import ARS_REGIONS, BOOKING, CENTRE_DAY_KEYS, MEASURES, OPERATORS, RAW_BOOKING, TERRITORY
 from calepin.operators import controls, quality, rollups, validation
 from calepin.operators.normalization import (
     checked_bookings,
@@ -101,7 +101,7 @@ def test_unknown_department_has_no_region(normalized):
 def test_dimension(spark):
     rows = territory_dimension(spark).collect()
     assert len(rows) == len({r.code_departement for r in rows}) == 101
-    assert len(REGIONS) == 18 and len(ARS_REGIONS) == 17 and "MAY" not in ARS_REGIONS
+    assert len({name for _, _, name in TERRITORY}) == 18 and len(TERRITORY) == 101 and len(ARS_REGIONS) == 17 and "MAY" not in ARS_REGIONS
 
 
 def test_delivered_dimension(spark):

@@ -54,7 +54,9 @@ def test_weekly_scan_reads_few_columns_and_one_publication(spark, stored):
     df = rollups.weekly(rollups.measured(bookings), "national", AS_OF)
     text = plan(df)
     assert text.count("Exchange hashpartitioning") == 1
-    assert "PartitionFilters: [isnotnull(date_publication" in text
+    # The publication's own folder is opened and no other.
+    leaf = bookings._jdf.queryExecution().optimizedPlan().collectLeaves().head()
+    assert leaf.relation().location().rootPaths().mkString(" ").endswith(f"date_publication={AS_OF}")
     found = scan(df)
     assert not any(name in found["ReadSchema"] for name in ("motif_rdv", "annee_naissance", "brut"))
     assert "GreaterThanOrEqual(date_rdv" in found["PushedFilters"]
@@ -104,3 +106,19 @@ def test_generated_methods_stay_compilable(spark, tmp_path):
             assert sizes and max(sizes) < 8000
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_each_published_table_is_aggregated_once(spark, tmp_path, monkeypatch):
+    """Only the daily and the weekly centre table read the centre-day counts."""
+    from calepin.plans import publication
+
+    written = []
+    monkeypatch.setattr(publication, "write_csv", lambda df, *a, **k: written.append(" ".join(df.inputFiles())))
+    monkeypatch.setattr(publication, "write_by_region", lambda df, *a: written.append(" ".join(df.inputFiles())))
+    counted = publication.store_counted(
+        rollups.centre_day_with_gaps(checked_bookings(raw_bookings(spark, SF_DIR))), str(tmp_path), AS_OF
+    )
+    publication.write_published_tables(counted, str(tmp_path), AS_OF)
+    assert len(written) == 7
+    assert sum("centre_jour" in text for text in written) == 1  # the excluded rows
+    assert sum("rdv_semaine" in text for text in written) == 4 and sum("rdv_jour" in text for text in written) == 2
