@@ -36,6 +36,8 @@ SEPARATOR = 1
 GROUP_SIZE = 200_000
 # Between words of one text, and how many words such a text has.
 BETWEEN, WORDS_A_TEXT = "\x1e", 500
+# Words that a worker process remembers: some 200 MB.
+WORDS_HELD = 1_000_000
 
 
 @lru_cache(maxsize=1)  # one a worker process, kept between its tasks
@@ -71,7 +73,7 @@ def remembering(path: str) -> Memo:
             ends = np.cumsum([len(ids) for ids in own[: len(words)]])
         return flat, np.r_[0, ends].astype(np.int64)
 
-    return Memo(encode)
+    return Memo(encode, WORDS_HELD)
 
 
 def word_ids(memo: Memo, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
