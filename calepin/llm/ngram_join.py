@@ -42,7 +42,7 @@ from math import ceil, erf, exp, sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calepin.llm.common import shared_folder, stored, text_slices
@@ -59,15 +59,16 @@ BAND = 1.25
 SEEDS = 2
 # Documents sampled for much used shingles, how many of them a shingle is in
 # at least, and how many such shingles are sent to the tasks at most.
-SAMPLE, USED, SENT_SHINGLES = 20_000, 5, 500_000
+SAMPLE, USED, SENT_SHINGLES = 20_000, 3, 500_000
 SKETCH_BITS = 1024
 # Signatures that a task holds before it hands them on.
 HELD_SIGNATURES = 4_000_000
-# Rounds of centres at most, before pairs of different components are verified
-# one by one; at least one, and earlier where so few such pairs are left for
-# each member of a group.
-PAIRS_A_MEMBER = 20
+# Members of a group are compared with centres first, a few a round, until so
+# few pairs of different components are left for each member, or until rounds
+# help no more; then such pairs are compared one by one.
+PAIRS_A_MEMBER = 100
 CENTRE_ROUNDS = 6
+CENTRES_A_ROUND = 3
 # Candidate ids that may be sent to all tasks; more are met by a shuffle join.
 SENT_IDS = 1_000_000
 
@@ -464,20 +465,19 @@ def side(sets: DataFrame, name: str, *columns: str) -> DataFrame:
     return sets.select(F.col("node").alias(name), *(F.col(c).alias(f"{c}_{name}") for c in columns))
 
 
-def possible(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sizes and sketches do not rule them out."""
-    both = pairs.join(side(sets, "a", "n", "sketch"), "a").join(side(sets, "b", "n", "sketch"), "b")
-    size = F.col("n_a") + F.col("n_b")
-    bound = size - 2 * F.ceil(size * PERCENT / (100 + PERCENT))
+def possible(x: str, y: str) -> Column:
+    """Whether sizes and sketches of two sides do not rule out similarity."""
+    sizes = F.col(f"n_{x}"), F.col(f"n_{y}")
+    both = sizes[0] + sizes[1]
+    bound = both - 2 * F.ceil(both * PERCENT / (100 + PERCENT))
     differ = sum(
         (
-            F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
+            F.bit_count(F.get(f"sketch_{x}", F.lit(k)).bitwiseXOR(F.get(f"sketch_{y}", F.lit(k))))
             for k in range(SKETCH_WORDS)
         ),
         F.lit(0),
     )
-    smaller = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    return both.where(smaller & (differ <= bound)).select("a", "b")
+    return (100 * F.least(*sizes) >= PERCENT * F.greatest(*sizes)) & (differ <= bound)
 
 
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -552,86 +552,91 @@ def joined(
     )
 
 
+def ranked(node: str, round_: int) -> Column:
+    return F.struct(F.xxhash64(node, F.lit(round_)).alias("rank"), F.col(node).alias("id"))
+
+
 def linked(
     members: DataFrame, facts: DataFrame, shingles: Callable[[DataFrame], DataFrame], folder: str
 ) -> DataFrame:
     """Similar pairs (a, b) that join all members similar to one another.
     ``facts`` has sizes and sketches, ``shingles`` gives the sets of nodes."""
     spark = members.sparkSession
-    links = spark.createDataFrame([], "a long, b long")
-    tried = spark.createDataFrame([], "a long, b long")
-    state = members.withColumn("component", F.col("node"))
+    links = tried = spark.createDataFrame([], "a long, b long")
+    before = None
+    # Sketches go along with the members: pairs are compared where they meet.
+    state = members.join(facts, "node").withColumn("component", F.col("node"))
     for round_ in range(CENTRE_ROUNDS + 1):
         # Groups that more than one component shares, with a member to compare with.
-        rank = F.struct(F.xxhash64("node", F.lit(round_)).alias("rank"), "node", "component")
-        heads = (
+        head = F.struct(F.xxhash64("node", F.lit(round_)).alias("rank"), "node", "component", "n", "sketch")
+        groups = (
             state.groupBy("key")
             .agg(
-                F.min(rank).alias("head"),
+                F.min(head).alias("head"),
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
                 F.count("*").alias("size"),
             )
             .where("low < high")
         )
-        apart = stored(
-            state.join(heads, "key").select(
-                "key", "node", "component", F.col("head.node").alias("centre"), F.col("head.component").alias("home"), "size"
-            ),
-            folder,
-            f"apart-{round_}",
-        )
-        members_left = apart.count()
-        if not members_left:
-            break
+        apart = stored(state.join(groups.drop("low", "high"), "key"), folder, f"apart-{round_}")
         within = apart.groupBy("key", "component").agg(F.count("*").alias("c"), F.first("size").alias("s"))
-        pairs_left = within.agg(F.sum(F.col("c") * (F.col("s") - F.col("c"))) / 2).first()[0]
-        last = round_ == CENTRE_ROUNDS or (round_ > 0 and pairs_left <= PAIRS_A_MEMBER * members_left)
+        left = within.agg(
+            F.coalesce(F.sum("c"), F.lit(0)).alias("members"),
+            F.coalesce(F.sum(F.col("c") * (F.col("s") - F.col("c"))) / 2, F.lit(0)).alias("pairs"),
+        ).first()
+        if not left.members:
+            break
+        stuck = before is not None and left.members > 0.9 * before
+        last = stuck or round_ == CENTRE_ROUNDS or left.pairs <= PAIRS_A_MEMBER * left.members
+        before = left.members
         if last:
             # Everyone outside a group's largest component against all others.
             largest = within.groupBy("key").agg(F.max_by("component", "c").alias("largest"))
             outer = apart.join(largest, "key").where("component <> largest")
-            left = outer.select("key", F.col("node").alias("x"), F.col("component").alias("cx"))
-            right = apart.select("key", F.col("node").alias("y"), F.col("component").alias("cy"))
-            pairs = (
-                left.join(right, "key")
-                .where("cx <> cy")
-                .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-                .distinct()
+            columns = ("node", "component", "n", "sketch")
+            x = outer.select("key", *(F.col(c).alias(f"{c}_x") for c in columns))
+            y = apart.select("key", *(F.col(c).alias(f"{c}_y") for c in columns))
+            met = x.withColumnRenamed("key", "key_x").join(
+                y, (F.col("key_x") == F.col("key")) & (F.col("component_x") != F.col("component_y")) & possible("x", "y")
             )
+            pairs = met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
         else:
             # Each member against one centre: that of most of its groups.
-            best = Window.partitionBy("node").orderBy(F.desc("groups"), "centre")
+            met = apart.select(
+                F.col("node").alias("node_x"), F.col("n").alias("n_x"), F.col("sketch").alias("sketch_x"), "component",
+                *(F.col(f"head.{c}").alias(f"{c}_y") for c in ("node", "component", "n", "sketch")),
+            ).where((F.col("component") != F.col("component_y")) & possible("x", "y"))
+            best = Window.partitionBy("node_x").orderBy(F.desc("groups"), "node_y")
             pairs = (
-                apart.where("component <> home")
-                .groupBy("node", "centre")
+                met.groupBy("node_x", "node_y")
                 .agg(F.count("*").alias("groups"))
-                .join(
-                    tried.select(F.col("a").alias("node"), F.col("b").alias("centre")).union(
-                        tried.select(F.col("b"), F.col("a"))
-                    ),
-                    ["node", "centre"],
-                    "left_anti",
-                )
                 .withColumn("rank", F.row_number().over(best))
-                .where("rank = 1")
-                .select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-                .distinct()
+                .where(F.col("rank") <= CENTRES_A_ROUND)
+                .select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
             )
-        pairs = stored(
-            possible(pairs.join(tried, ["a", "b"], "left_anti"), facts), folder, f"pairs-{round_}"
-        )
+        pairs = pairs.distinct()
+        if round_:
+            pairs = pairs.join(tried, ["a", "b"], "left_anti")
+        pairs = stored(pairs, folder, f"pairs-{round_}")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
         sets = stored(shingles(nodes), folder, f"sets-{round_}").dropDuplicates(["node"])
-        links = links.union(stored(verified(pairs, sets), folder, f"links-{round_}"))
+        found = stored(verified(pairs, sets), folder, f"links-{round_}")
+        links = links.union(found)
         if last:
             break
         tried = tried.union(pairs)
-        joined_by = components(links, folder, f"round-{round_}")
+        # A component's name for now: of a node and those linked with it the one
+        # of the lowest rank, so mostly a centre. Names that differ within a
+        # component cost comparisons and lose no link.
+        both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+        named = both.groupBy("node").agg(F.min(ranked("other", round_)).alias("lowest"))
+        own = ranked("node", round_)
         state = (
-            apart.select("key", "node")
-            .join(joined_by, "node", "left")
-            .select("key", "node", F.coalesce("component", "node").alias("component"))
+            apart.select("key", "node", "n", "sketch")
+            .join(named, "node", "left")
+            .withColumn("component", F.least(own, F.coalesce("lowest", own))["id"])
+            .drop("lowest")
         )
     return links
 
