@@ -1,7 +1,8 @@
 """Time the jobs and headline queries; prints one JSON line.
 
 BENCH_SF_DIR picks the tables, BENCH_CPUS the cores, BENCH_COPIES multiplies
-the derived feeds. The drops the jobs read are written before any timing.
+the derived feeds, each copy with centres of its own, so that groups grow with
+the rows. The drops the jobs read are written before any timing.
 """
 
 from __future__ import annotations
@@ -89,16 +90,15 @@ def main() -> None:
         "weekly_national_from_raw": lambda: run(QUERIES["weekly_national"](spark, SF_DIR)),
         "normalized_creneaux_from_raw": lambda: run(QUERIES["normalized_creneaux"](spark, SF_DIR)),
     }
-    times = {}
+    times, runs = {}, {}
     for name, step in steps.items():
         # The first run loads and compiles classes; the better of two counts.
-        best = None
+        runs[name] = []
         for _ in range(2):
             start = time.perf_counter()
             step()
-            spent = time.perf_counter() - start
-            best = spent if best is None else min(best, spent)
-        times[name] = round(best, 3)
+            runs[name].append(round(time.perf_counter() - start, 3))
+        times[name] = min(runs[name])
     print(
         json.dumps(
             {
@@ -106,6 +106,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "runs": runs,
                 "sf": Path(SF_DIR).name.removeprefix("sf"),
                 "copies": COPIES,
                 "cpus": int(CPUS),

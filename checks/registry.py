@@ -392,14 +392,17 @@ def null_tokens(spark, sf_dir):
 
 
 def repeated(df: DataFrame, copies: int) -> DataFrame:
+    """Every row so many times, each copy with centres of its own."""
     if copies == 1:
         return df
-    return df.withColumn("copie", F.explode(F.sequence(F.lit(1), F.lit(copies)))).drop("copie")
+    copy = F.explode(F.sequence(F.lit(1), F.lit(copies)))
+    own = F.when(F.col("copie") > 1, F.concat_ws("-", "id_centre", "copie")).otherwise(F.col("id_centre"))
+    return df.withColumn("copie", copy).withColumn("id_centre", own).drop("copie")
 
 
 def deliver_bookings(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
-    """Write the derived appointments as the operators' drops, each row
-    ``copies`` times."""
+    """Write the derived appointments as the operators' drops, so many copies
+    of each row."""
     folder = folder_for(spark)
     raw = repeated(raw_bookings(spark, sf_dir), copies)
     for name in OPERATORS:
@@ -413,8 +416,8 @@ def deliver_bookings(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
 
 
 def deliver_slots(spark: SparkSession, sf_dir: str, copies: int = 1) -> str:
-    """Write the derived slots as the operators' drops, each row ``copies``
-    times."""
+    """Write the derived slots as the operators' drops, so many copies of each
+    row."""
     folder = folder_for(spark)
     raw = repeated(raw_slots(spark, sf_dir), copies)
     for name in OPERATORS:
