@@ -62,7 +62,7 @@ SEEDS = 2
 SAMPLE, USED, SENT_SHINGLES = 20_000, 3, 500_000
 SKETCH_BITS = 1024
 # Signatures that a task holds before it hands them on.
-HELD_SIGNATURES = 4_000_000
+HELD_SIGNATURES = 1_500_000
 # Members of a group are compared with centres first, a few a round, until so
 # few pairs of different components are left for each member, or until rounds
 # help no more; then such pairs are compared one by one.
@@ -565,7 +565,9 @@ def linked(
     links = tried = spark.createDataFrame([], "a long, b long")
     before = None
     # Sketches go along with the members: pairs are compared where they meet.
-    state = members.join(facts, "node").withColumn("component", F.col("node"))
+    state = stored(
+        members.join(facts, "node").withColumn("component", F.col("node")), folder, "state"
+    )
     for round_ in range(CENTRE_ROUNDS + 1):
         # Groups that more than one component shares, with a member to compare with.
         head = F.struct(F.xxhash64("node", F.lit(round_)).alias("rank"), "node", "component", "n", "sketch")
@@ -632,12 +634,13 @@ def linked(
         both = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
         named = both.groupBy("node").agg(F.min(ranked("other", round_)).alias("lowest"))
         own = ranked("node", round_)
-        state = (
+        renamed = (
             apart.select("key", "node", "n", "sketch")
             .join(named, "node", "left")
             .withColumn("component", F.least(own, F.coalesce("lowest", own))["id"])
             .drop("lowest")
         )
+        state = stored(renamed, folder, f"state-{round_}")
     return links
 
 
