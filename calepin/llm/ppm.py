@@ -8,10 +8,10 @@ alone: dropping leading bytes gives every shorter context.
 The code length of a byte starts at its longest context in the trie. A byte
 seen there has probability (c - 1/2) / T (count, total); otherwise an escape of
 S / 2T (distinct successors, method D) is paid and the next shorter context
-decides among the bytes not excluded. Successors of a context are always among those of its suffix, so
-what is excluded at a level depends on the context one byte longer only, and
-each context keeps what its suffix has left: the cost of a gram is a function
-of the gram and is looked up, not replayed.
+decides among the bytes not excluded. Successors of a context are always among
+those of its suffix, so what is excluded at a level depends on the context one
+byte longer only, and each context keeps what its suffix has left: the cost of
+a gram is a function of the gram and is looked up, not replayed.
 """
 
 from __future__ import annotations
@@ -181,6 +181,8 @@ class Scorer:
     def score(self, words: pa.Array, offsets: np.ndarray) -> np.ndarray:
         """Texts x tries: natural logarithms of the texts' probabilities."""
         grams, edges = text_grams(words, offsets, self.order)
+        if not len(self.values):  # nothing learned: all bytes are alike
+            return sums(self._values(grams), edges)
         at = self.table.find(grams)
         values = self.values[at]
         missing = np.flatnonzero(at < 0)

@@ -51,7 +51,9 @@ POSSIBLE = (
     r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i:secret|token|passw|pwd|api|key|auth|credential|bearer|private|access|sign)"
 )
 AROUND = 200
-NOVELTY = 0.6
+# Random keys of 16 to 64 characters reach 0.91 to 1; names put together from the
+# dictionary mostly stay below 0.8.
+NOVELTY = 0.9
 
 # Names and phrases common in code and configuration.
 IDENTIFIERS = """
