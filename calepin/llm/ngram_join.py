@@ -590,7 +590,9 @@ def linked(
         if not left.members:
             break
         stuck = before is not None and left.members > 0.9 * before
-        last = stuck or round_ == CENTRE_ROUNDS or left.pairs <= PAIRS_A_MEMBER * left.members
+        # Centres come first in any case: similar sets meet under many keys.
+        few = round_ > 0 and left.pairs <= PAIRS_A_MEMBER * left.members
+        last = stuck or few or round_ == CENTRE_ROUNDS
         before = left.members
         if last:
             # Everyone outside a group's largest component against all others.
