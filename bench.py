@@ -37,7 +37,7 @@ SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 COPIES = int(os.environ.get("BENCH_COPIES", "1"))
 
 
-def session() -> SparkSession:
+def session(shared: str) -> SparkSession:
     spark = (
         SparkSession.builder.master(f"local[{CPUS}]")
         .appName("calepin-bench")
@@ -45,6 +45,7 @@ def session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", CPUS)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", shared)
         # Methods above this size are never compiled by the JVM.
         .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .getOrCreate()
@@ -58,9 +59,8 @@ def run(df) -> None:
 
 
 def main() -> None:
-    spark = session()
     shared = os.environ.get("BENCH_FOLDER") or tempfile.mkdtemp(prefix="calepin-bench-")
-    spark.conf.set("spark.checkpoint.dir", shared)
+    spark = session(shared)
     out = work_folder(shared)
     bookings = deliver_bookings(spark, SF_DIR, COPIES)
     slots = deliver_slots(spark, SF_DIR, COPIES)
