@@ -68,11 +68,11 @@ with recursive given as (
 ), links as (
   select x.doc_id as a, y.doc_id as b, count(*) as c
   from shingles x join shingles y on x.g = y.g and x.doc_id <> y.doc_id group by all
-), similar as (
+), near_pairs as (
   select a, b from links join sizes p on p.doc_id = a join sizes q on q.doc_id = b
   where 100 * c >= 80 * (p.n + q.n - c)
 ), reach as (
-  select a, b from similar union select r.a, s.b from reach r join similar s on r.b = s.a
+  select a, b from near_pairs union select r.a, s.b from reach r join near_pairs s on r.b = s.a
 )
 select doc_id, coalesce(n, 0)::bigint as n_shingles, least(doc_id, coalesce(low, doc_id)) as component_id
 from given left join sizes using (doc_id)
