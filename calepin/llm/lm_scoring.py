@@ -1,11 +1,11 @@
 """Language-model scoring: prediction by partial matching under frozen counts.
 
 Training counts cover every training document: grams of the byte trie and
-tokens of the unigram base. The trie is sent to the tasks. Its size is counted
-first and bounded by ``max_grams``: where the corpus has more distinct grams,
-the order goes down until they fit (two-byte grams always do). Token counts
-have no such bound: the ``frequent`` most frequent ones are sent, every other
-token is met by a join on its hash with the stored counts.
+tokens of the unigram base. They stay in a stored table at any size, and the
+order is what the caller says. The costs of the ``frequent_grams`` most frequent
+grams and the counts of the ``frequent`` most frequent tokens are sent to the
+tasks; every other gram is met by a join with its cost, every other token by a
+join on its hash with the stored counts.
 
 Null text counts as empty: its end token alone. Rows that repeat are scored
 each on their own, a null id belongs to fold 0, and where no document trains
@@ -24,12 +24,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from calepin.llm.code_lengths import (
+    KEY_TIMES,
+    CodeLengths,
+    SentCosts,
+    listed,
+    most_frequent,
+    sent_costs,
+)
 from calepin.llm.common import fold, shared_folder, stored, text_slices
-from calepin.llm.ppm import Scorer, Tally, Trie, gram_mask, text_grams, words_of
+from calepin.llm.ppm import Tally, gram_mask, text_grams, words_of
 from calepin.llm.tables import LongTable, sums
 
 ORDER = 5
-MAX_GRAMS = 3_000_000
+FREQUENT_GRAMS = 1 << 20
 FREQUENT = 1 << 19
 HELD_OUT_REMAINDER = 1
 
@@ -79,7 +87,7 @@ def training_counts(docs: DataFrame, order: int) -> DataFrame:
 
 
 def fitting_grams(grams: DataFrame, order: int, max_grams: int) -> tuple[int, DataFrame]:
-    """The longest order up to ``order`` whose grams are few enough to be sent."""
+    """The longest order up to ``order`` of at most ``max_grams`` grams."""
     for k in range(order, 0, -1):
         cut = F.col("key").bitwiseAND(F.lit(int(gram_mask(k + 1))))
         counts = grams if k == order else grams.groupBy(cut.alias("key")).agg(F.sum("n").alias("n"))
@@ -89,10 +97,10 @@ def fitting_grams(grams: DataFrame, order: int, max_grams: int) -> tuple[int, Da
 
 
 class Model:
-    """What a task needs: the trie's scorer and the frequent tokens."""
+    """What a task needs: the costs of sent grams and the frequent tokens."""
 
-    def __init__(self, order: int, grams, counts, tokens, token_counts):
-        self.scorer = Scorer([Trie(grams, counts, order)])
+    def __init__(self, grams, costs, tokens, token_counts):
+        self.grams = SentCosts(grams, costs)
         self.tokens = LongTable(tokens)
         self.token_counts = np.append(token_counts, 0)
 
@@ -116,13 +124,17 @@ def columns(df: DataFrame, *names: str) -> list[np.ndarray]:
 def scored(
     docs: DataFrame,
     order: int = ORDER,
-    max_grams: int = MAX_GRAMS,
+    max_grams: int | None = None,
     frequent: int = FREQUENT,
     doc_id: str = "doc_id",
     text: str = "text",
     held_out: Column | None = None,
+    frequent_grams: int = FREQUENT_GRAMS,
 ) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``max_grams``, None unless the caller asks for a smaller model, lowers the
+    order until so few distinct grams are left."""
     spark = docs.sparkSession
     folder = shared_folder(spark)
     split = fold(F.col(doc_id)) == HELD_OUT_REMAINDER if held_out is None else held_out
@@ -135,12 +147,15 @@ def scored(
         F.count("*").alias("distinct"),
         F.coalesce(F.sum(F.when(F.col("kind") == "end", F.col("n"))), F.lit(0)).alias("ends"),
     ).first()
-    order, grams = fitting_grams(learned.where("kind = 'gram'"), order, max_grams)
-    keys, counts = columns(grams, "key", "n")
+    grams = learned.where("kind = 'gram'").select("key", "n")
+    if max_grams is not None:
+        order, grams = fitting_grams(grams, order, max_grams)
+    lengths = CodeLengths(grams.select(F.lit(0).alias("model"), "key", "n"), order)
+    keys, costs = sent_costs(lengths, most_frequent(grams, frequent_grams), 1)
     top, top_counts = columns(tokens.orderBy(F.desc("n"), "key").limit(frequent), "key", "n")
     base = size.total + 0.5 * (size.distinct + 1)
     shared = spark.sparkContext.broadcast(
-        (order, keys.view(np.uint64), counts, top.view(np.uint64), top_counts)
+        (keys, costs, top.view(np.uint64), top_counts)
     )
     name = uuid.uuid4().hex
     end_count = size.ends
@@ -149,7 +164,8 @@ def scored(
         model = model_of(name, shared)
         for batch in text_slices(batches):
             words, offsets = words_of(batch.column("text"))
-            log_p = model.scorer.score(words, offsets)[:, 0]
+            grams, ends = text_grams(words, offsets, order)
+            costs, rare_grams = model.grams.met(grams, ends)
             coded = words.dictionary_encode()
             hashes = hashes_of(coded.dictionary.to_pylist())
             which = coded.indices.to_numpy()
@@ -161,12 +177,7 @@ def scored(
             # The others, each once a text with its number of occurrences.
             other = np.flatnonzero(~sent)
             row = np.repeat(np.arange(len(lengths)), lengths)[other]
-            pairs, times = np.unique(row << 32 | which[other], return_counts=True)
-            edges = np.searchsorted(pairs, np.arange(len(lengths) + 1) << 32).astype(np.int32)
-            pairs &= (1 << 32) - 1
-            rare = pa.StructArray.from_arrays(
-                [pa.array(hashes[pairs].view(np.int64)), pa.array(times.astype(np.int32))], ["key", "times"]
-            )
+            rare = listed(row, which[other], hashes, len(lengths))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -174,16 +185,17 @@ def scored(
                     pa.array(lengths + 1),
                     pa.array(sums(sent.astype(np.int64), offsets) + (end_count > 0)),
                     pa.array(parts + np.log10(end_count + 0.5)),
-                    pa.array(log_p / np.log(10)),
-                    pa.ListArray.from_arrays(pa.array(edges), rare),
+                    pa.array(sums(costs[:, 0], ends)),
+                    rare,
+                    rare_grams,
                 ],
-                names=["doc_id", "held_out", "n_tokens", "n_sent", "base_sent", "score", "rare"],
+                names=["doc_id", "held_out", "n_tokens", "n_sent", "base_sent", "cost_sent", "rare", "rare_grams"],
             )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {kind}, held_out boolean, n_tokens bigint, n_sent bigint, base_sent double, "
-        "score double, rare array<struct<key: bigint, times: int>>"
+        f"cost_sent double, rare {KEY_TIMES}, rare_grams {KEY_TIMES}"
     )
     scores = stored(
         rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), folder, "scores"
@@ -199,7 +211,15 @@ def scored(
             F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("base_rare"),
         )
     )
-    return scores.drop("rare").join(looked_up, "row", "left").select(
+    # Grams that were not sent, seen in training or not, met with their costs.
+    rare_grams = scores.select("row", F.explode("rare_grams").alias("rare")).select("row", "rare.*")
+    costs_met = (
+        rare_grams.join(lengths.of(rare_grams.select("key").distinct()), "key")
+        .groupBy("row")
+        .agg(F.sum(F.col("times") * F.col("costs")[0]).alias("cost_rare"))
+    )
+    whole = scores.drop("rare", "rare_grams").join(looked_up, "row", "left").join(costs_met, "row", "left")
+    return whole.select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -210,5 +230,5 @@ def scored(
             + F.coalesce("base_rare", F.lit(0.0))
             - F.col("n_tokens") * F.log10(F.lit(float(base)))
         ).alias("base_score"),
-        "score",
+        ((F.col("cost_sent") + F.coalesce("cost_rare", F.lit(0.0))) / F.lit(float(np.log(10)))).alias("score"),
     )

@@ -106,13 +106,18 @@ class Tally:
 
 
 class Trie:
-    """All contexts up to ``order`` bytes, from the counts of distinct grams."""
+    """All contexts up to ``order`` bytes, from the counts of distinct grams.
 
-    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int):
+    Where the grams are a part of all, namely all that share the bytes of their
+    contexts next after ``low.order``, ``low`` has the levels up to that order of
+    all grams; levels above are then those of the part."""
+
+    def __init__(self, grams: np.ndarray, counts: np.ndarray, order: int, low: Trie | None = None):
         self.order = order
-        self.levels = []  # of each order: grams, counts, contexts, total, distinct, left, new
-        below = None
-        for k in range(order + 1):
+        # of each order: grams, counts, contexts, total, distinct, left, new
+        self.levels = low.levels[: order + 1] if low else []
+        below = self.levels[-1] if low else None
+        for k in range(len(self.levels), order + 1):
             keys, which = np.unique(grams & gram_mask(k + 1), return_inverse=True)
             count = np.bincount(which, weights=counts, minlength=len(keys))
             contexts, first = np.unique(keys >> np.uint64(8), return_index=True)
@@ -136,6 +141,8 @@ class Trie:
         longer = np.full(len(grams), -1)  # context one byte longer, -1 if not in the trie
         for k in range(self.order, -1, -1):
             keys, count, contexts, total, distinct, _, _ = self.levels[k]
+            if not len(keys):  # no gram of the part, nor of any longer level
+                continue
             own = grams[todo]
             at = _exact(contexts, (own >> np.uint64(8)) & gram_mask(k))
             t, s = total[at], distinct[at]

@@ -1,5 +1,6 @@
 import collections
 import hashlib
+import inspect
 import math
 import random
 import re
@@ -98,6 +99,19 @@ def test_a_smaller_bound_lowers_the_order(documents, by_id):
     assert all(rows[i].score == pytest.approx(model.log10(modelled(t, 1))) for i, t in given)
 
 
+@pytest.mark.parametrize("order", [1, 2, 5])
+@pytest.mark.parametrize("frequent_grams", [0, 40, 1 << 20])
+def test_no_number_of_sent_grams_changes_a_score(documents, by_id, order, frequent_grams):
+    given = small_corpus() + [(200, None), (201, "qqq zzz"), (202, "the tea " * 300)]
+    rows = by_id(lm_scoring.scored(documents(given), order=order, frequent_grams=frequent_grams))
+    model = PlainPpm([modelled(t, order) for i, t in given if remainder(i) != 1], order)
+    assert all(rows[i].score == pytest.approx(model.log10(modelled(t, order))) for i, t in given)
+
+
+def test_the_registered_model_has_no_bound():
+    assert inspect.signature(lm_scoring.scored).parameters["max_grams"].default is None
+
+
 def test_odd_rows_are_scored(documents, odd):
     rows = lm_scoring.scored(documents(odd)).collect()
     assert len(rows) == len(odd) and all(math.isfinite(r.score) and r.score < 0 for r in rows)
