@@ -3,9 +3,10 @@
 Counts of all labelled training texts make a trie per language; a text is
 scored under each by prediction by partial matching and goes to the language
 that codes it shortest (ties to the smaller name). The score is that language's
-share of the likelihood. The code lengths of all known grams under all
-languages form the table sent to the tasks; its cells are bounded by
-``max_cells``, the order goes down until they fit.
+share of the likelihood. The order is what the caller says; the counts stay in a
+stored table at any size. The costs of the most frequent grams under all
+languages are sent to the tasks, ``sent_cells`` numbers at most; every other gram
+is met by a join with its costs.
 
 A text that is null or has no letter is ``und`` with score 0, as is every text
 where nothing was learned; a null id belongs to fold 0; rows that repeat are
@@ -23,11 +24,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from calepin.llm.code_lengths import KEY_TIMES, CodeLengths, SentCosts, most_frequent, sent_costs
 from calepin.llm.common import SLICE_BYTES, filled, fold, shared_folder, stored, text_slices
-from calepin.llm.ppm import Scorer, Tally, Trie, gram_mask, text_grams, words_of
+from calepin.llm.ppm import Tally, text_grams, words_of
+from calepin.llm.tables import sums
 
 ORDER = 4
-MAX_CELLS = 12_000_000
+SENT_CELLS = 12_000_000
 UNKNOWN = "und"
 HELD_OUT_REMAINDER = 0
 
@@ -69,83 +72,113 @@ def language_counts(docs: DataFrame, order: int) -> DataFrame:
     )
 
 
-def fitting_counts(counts: DataFrame, order: int, max_cells: int) -> tuple[int, DataFrame]:
-    """Counts of the longest order whose table of grams x languages fits."""
-    languages = counts.select("lang").distinct().count()
-    for k in range(order, 0, -1):
-        cut = F.col("key").bitwiseAND(F.lit(int(gram_mask(k + 1))))
-        own = counts if k == order else counts.groupBy("lang", cut.alias("key")).agg(F.sum("n").alias("n"))
-        if k == 1 or own.select("key").distinct().count() * languages <= max_cells:
-            return k, own
-    return 0, counts
+_SENT: dict[str, SentCosts] = {}
 
 
-_SCORER: dict[str, Scorer] = {}
-
-
-def scorer_of(name: str, shared) -> Scorer:
-    """The broadcast tries, built once a worker process."""
-    if name not in _SCORER:
-        _SCORER.clear()
-        order, tries = shared.value
-        _SCORER[name] = Scorer([Trie(keys, counts, order) for keys, counts in tries])
-    return _SCORER[name]
+def sent_of(name: str, shared) -> SentCosts:
+    """The broadcast costs, built once a worker process."""
+    if name not in _SENT:
+        _SENT.clear()
+        _SENT[name] = SentCosts(*shared.value)
+    return _SENT[name]
 
 
 def identified(
     docs: DataFrame,
     order: int = ORDER,
-    max_cells: int = MAX_CELLS,
+    sent_cells: int = SENT_CELLS,
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
 ) -> DataFrame:
     """doc_id, held_out, lang_pred, score."""
     spark = docs.sparkSession
+    folder = shared_folder(spark)
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
         F.col(text).alias("text"),
         F.col(lang).alias("lang"),
         (fold(F.col(doc_id)) == HELD_OUT_REMAINDER).alias("held_out"),
     )
-    learned = stored(
-        language_counts(rows.where("not held_out"), order), shared_folder(spark), "counts"
+    learned = stored(language_counts(rows.where("not held_out"), order), folder, "counts")
+    languages = sorted(r.lang for r in learned.select("lang").distinct().collect())
+    models = max(len(languages), 1)
+    named = spark.createDataFrame(list(enumerate(languages)), "model int, lang string")
+    counts = learned.join(F.broadcast(named), "lang").select("model", "key", "n")
+    lengths = CodeLengths(counts, order)
+    grams = counts.groupBy("key").agg(F.sum("n").alias("n"))
+    shared = spark.sparkContext.broadcast(
+        sent_costs(lengths, most_frequent(grams, sent_cells // models), models)
     )
-    order, counts = fitting_counts(learned, order, max_cells)
-    table = counts.select("lang", "key", "n").toArrow().combine_chunks()
-    languages = sorted(pc.unique(table["lang"]).to_pylist())
-    tries = []
-    for name in languages:
-        own = table.filter(pc.equal(table["lang"], name))
-        tries.append((own["key"].to_numpy().view(np.uint64), own["n"].to_numpy()))
-    shared = spark.sparkContext.broadcast((order, tries))
     name = uuid.uuid4().hex
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = scorer_of(name, shared) if languages else None
+    def measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent = sent_of(name, shared)
         # Each byte takes a number per language.
-        for batch in text_slices(batches, most=SLICE_BYTES // max(len(languages), 1)):
+        for batch in text_slices(batches, most=SLICE_BYTES // models):
             texts = filled(batch.column("text"))
-            letters = pc.match_substring_regex(texts, r"\p{L}").to_numpy(zero_copy_only=False)
-            if scorer is None:
-                best, share = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-                letters[:] = False
-            else:
-                log_p = scorer.score(*words_of(texts))
-                best = log_p.argmax(axis=1)
-                share = 1 / np.exp(log_p - log_p.max(axis=1, keepdims=True)).sum(axis=1)
-            names = pa.array([*languages, UNKNOWN])
+            letters = pc.match_substring_regex(texts, r"\p{L}")
+            grams, ends = text_grams(*words_of(texts), order)
+            costs, rare = sent.met(grams, ends)
+            costs = sums(costs, ends)
+            offsets = pa.array(np.arange(len(costs) + 1, dtype=np.int32) * models)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    batch.column("held_out"),
+                    letters,
+                    pa.ListArray.from_arrays(offsets, pa.array(costs.ravel())),
+                    rare,
+                ],
+                names=["doc_id", "held_out", "letters", "costs", "rare"],
+            )
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    known = rows.select("doc_id", "text", "held_out")
+    if not languages:
+        return known.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    texts = stored(
+        known.mapInArrow(
+            measured,
+            f"doc_id {kind}, held_out boolean, letters boolean, costs array<double>, rare {KEY_TIMES}",
+        ).withColumn("row", F.monotonically_increasing_id()),
+        folder,
+        "texts",
+    )
+    # Grams that were not sent, met with their costs, a sum per text and language.
+    rare = texts.where("letters").select("row", F.explode("rare").alias("rare")).select("row", "rare.*")
+    met = (
+        rare.join(lengths.of(rare.select("key").distinct()), "key")
+        .select("row", "times", F.posexplode("costs").alias("model", "cost"))
+        .groupBy("row", "model")
+        .agg(F.sum(F.col("times") * F.col("cost")).alias("cost"))
+        .groupBy("row")
+        .agg(F.transform(F.array_sort(F.collect_list(F.struct("model", "cost"))), lambda x: x["cost"]).alias("more"))
+    )
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = pa.array([*languages, UNKNOWN])
+        for batch in batches:
+            letters = batch.column("letters").to_numpy(zero_copy_only=False)
+            log_p = batch.column("costs").flatten().to_numpy().reshape(-1, models).copy()
+            more = batch.column("more")
+            has = np.flatnonzero(more.is_valid().to_numpy(zero_copy_only=False))
+            log_p[has] += more.flatten().to_numpy().reshape(-1, models)
+            best = log_p.argmax(axis=1)
+            share = 1 / np.exp(log_p - log_p.max(axis=1, keepdims=True)).sum(axis=1)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
                     batch.column("held_out"),
-                    names.take(pa.array(np.where(letters, best, len(languages)))),
+                    names.take(pa.array(np.where(letters, best, models))),
                     pa.array(np.where(letters, share, 0.0)),
                 ],
                 names=["doc_id", "held_out", "lang_pred", "score"],
             )
 
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text", "held_out").mapInArrow(
-        run, f"doc_id {kind}, held_out boolean, lang_pred string, score double"
+    return (
+        texts.drop("rare")
+        .join(met, "row", "left")
+        .select("doc_id", "held_out", "letters", "costs", "more")
+        .mapInArrow(judged, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
     )

@@ -169,31 +169,3 @@ def _exact(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     """Position of each wanted key in sorted keys, -1 where it is missing."""
     at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
     return np.where(keys[at] == wanted, at, -1)
-
-
-class Scorer:
-    """Code lengths of whole texts under several tries, one lookup a byte."""
-
-    def __init__(self, tries: list[Trie]):
-        self.tries = tries
-        self.order = tries[0].order
-        grams = np.unique(np.concatenate([t.levels[-1][0] for t in tries]))
-        self.table = LongTable(grams)
-        self.values = self._values(grams)
-
-    def _values(self, grams: np.ndarray) -> np.ndarray:
-        columns = [t.log_probability(grams) for t in self.tries]
-        return np.stack(columns, axis=1) if columns else np.zeros((len(grams), 0))
-
-    def score(self, words: pa.Array, offsets: np.ndarray) -> np.ndarray:
-        """Texts x tries: natural logarithms of the texts' probabilities."""
-        grams, edges = text_grams(words, offsets, self.order)
-        if not len(self.values):  # nothing learned: all bytes are alike
-            return sums(self._values(grams), edges)
-        at = self.table.find(grams)
-        values = self.values[at]
-        missing = np.flatnonzero(at < 0)
-        if len(missing):
-            rare, which = np.unique(grams[missing], return_inverse=True)
-            values[missing] = self._values(rare)[which]
-        return sums(values, edges)

@@ -152,6 +152,29 @@ def test_language_of_held_out_texts(spark):
     assert all(0 <= r.score <= 1 for r in found.values()) and found[200].score == 0
 
 
+@pytest.mark.parametrize("sent_cells", [0, 200, 12_000_000])
+def test_languages_equal_brute_force_whatever_is_sent(spark, sent_cells):
+    rng = random.Random(5)
+    names = [*sorted(LANGUAGES), "en", "e n"]  # a mistyped label among them
+    rows = []
+    for k in range(100):
+        lang = names[k % 5] if k % 5 < 4 or k < 10 else "fr"
+        words = LANGUAGES.get(lang, LANGUAGES["en"]).split() + ["tea", "zaé", "xq"]
+        rows.append((k, " ".join(rng.choice(words) for _ in range(rng.randint(1, 6))), lang, "x", "x"))
+    found = {r.doc_id: r for r in language_id.identified(labelled(spark, rows), sent_cells=sent_cells).collect()}
+    learned = {}
+    for i, text, lang, *_ in rows:
+        if remainder(i) != 0:
+            learned.setdefault(lang, []).append(modelled(text, 4))
+    assert len(learned) == 4
+    models = {lang: PlainPpm(texts, 4) for lang, texts in sorted(learned.items())}
+    for i, text, *_ in rows:
+        bits = {lang: model.log10(modelled(text, 4)) for lang, model in models.items()}
+        best = max(bits, key=bits.get)
+        assert found[i].lang_pred == best
+        assert found[i].score == pytest.approx(1 / sum(10 ** (b - bits[best]) for b in bits.values()))
+
+
 def test_nothing_to_learn_languages_from(spark):
     rows = [(k, "some text", None, "x", "x") for k in range(5)]
     assert {r.lang_pred for r in language_id.identified(labelled(spark, rows)).collect()} == {"und"}
