@@ -1,11 +1,13 @@
 """Secret scan: fixed patterns, and strings that a primed compressor finds new.
 
 Three patterns give the base spans. Further candidates are strings of a key's
-characters right after an assignment or quote whose line names something
-sensitive. A candidate counts as a secret by its novelty: the bytes that
-zstandard, primed with a dictionary of common identifiers and the text around
-the candidate, needs for it beyond what the text around needs alone, against
-its length. Words and repeated code compress; random keys do not.
+characters in a sensitive region: the line of a word that names something
+sensitive and a few lines after it, and the body of a PEM private key. Each of
+them that is not put together from words is measured by its novelty: the bytes
+that zstandard, primed with a dictionary of common identifiers and the text
+around the candidate, needs for it beyond what the text around needs alone,
+against its length. Words and repeated code compress; a random key takes nearly
+what the entropy of its alphabet says, whatever its length.
 
 Null text counts as empty and has no spans. Spans are code points, end
 exclusive. Where a candidate overlaps a base span it is not reported again.
@@ -14,6 +16,7 @@ exclusive. Where a candidate overlaps a base span it is not reported again.
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -39,20 +42,23 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 MIN_ASSIGN, MIN_ACCESS = 6, 20
 
-# A name that hints at a secret, up to 40 characters of the same line, then an
-# assignment or an opening quote and the candidate.
-CANDIDATE = re.compile(
-    r"""(?:secret|token|passw|pwd|api|key|auth|credential|bearer|private|access|sign)[^\n]{0,40}?"""
-    r"""[:=\x20"']\x20*["']?([A-Za-z0-9+/_-]{16,}={0,2})(?![A-Za-z0-9+/_=-])""",
-    re.IGNORECASE | re.ASCII,
+SENSITIVE = re.compile(
+    r"secret|token|passw|pwd|api|key|auth|credential|bearer|private|access|sign", re.IGNORECASE | re.ASCII
 )
+LINES_AFTER = 3
+PEM_BEGIN, PEM_END = re.compile(r"-----BEGIN [A-Z0-9 ]*PRIVATE KEY"), "-----END"
+STRING = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+# Names are words of some length; case and digits cut a random string in short pieces.
+PIECE = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+WORD_LENGTH = 4
+UNSPEAKABLE = re.compile(r"[bcdfghjklmnpqrstvwxz]{5}", re.IGNORECASE | re.ASCII)
 # One pass over a batch tells which texts can hold anything at all.
 POSSIBLE = (
     r"[0-9a-f]{24}|AKIA[A-Z0-9]{16}|(?i:secret|token|passw|pwd|api|key|auth|credential|bearer|private|access|sign)"
 )
 AROUND = 200
-# Random keys of 16 to 64 characters reach 0.91 to 1; names put together from the
-# dictionary mostly stay below 0.8.
+# Random strings reach this share of their alphabet's entropy, less a byte in all:
+# how much the text around tells of single characters depends on its length.
 NOVELTY = 0.9
 
 # Names and phrases common in code and configuration.
@@ -81,12 +87,58 @@ def novelty(before: str, candidate: str, after: str) -> float:
     return (len(size(around + own)) - len(size(around))) / len(own)
 
 
-def mixed(candidate: str) -> bool:
-    """Keys mix kinds of characters; names and words mostly do not."""
-    kinds = sum(
-        any(test(c) for c in candidate) for test in (str.isdigit, str.isupper, str.islower)
-    )
-    return kinds >= 2 and any(c.isdigit() for c in candidate)
+def alphabet(candidate: str) -> int:
+    """How many characters the candidate seems to be drawn from."""
+    used = set(candidate)
+    for digits in ("0123456789", "0123456789abcdef", "0123456789ABCDEF"):
+        if used <= set(digits):
+            return len(digits)
+    sizes = ((str.islower, 26), (str.isupper, 26), (str.isdigit, 10))
+    return sum(n for test, n in sizes if any(map(test, used))) + len(used & set("+/_-="))
+
+
+def bound(candidate: str) -> float:
+    """The novelty from which on a candidate counts as random."""
+    entropy = math.log2(max(alphabet(candidate), 10)) / 8
+    return NOVELTY * entropy - 1 / len(candidate)
+
+
+def wordlike(candidate: str) -> bool:
+    """Put together from pieces that can be words."""
+    pieces = PIECE.findall(candidate)
+    if not any(p.isalpha() for p in pieces) or any(map(UNSPEAKABLE.search, pieces)):
+        return False
+    return sum(map(len, pieces)) >= WORD_LENGTH * len(pieces)
+
+
+def sensitive_regions(text: str) -> list[tuple[int, int]]:
+    """Disjoint (start, end), in order, of the lines where secrets are looked for."""
+    found, line_end = [], -1
+    for m in SENSITIVE.finditer(text):
+        if m.start() < line_end:
+            continue
+        start = text.rfind("\n", max(line_end, 0), m.start()) + 1 or max(line_end, 0)
+        end = line_end = _line_end(text, m.end())
+        for _ in range(LINES_AFTER):
+            end = _line_end(text, min(end + 1, len(text)))
+        found.append((start, end))
+    at = 0
+    while m := PEM_BEGIN.search(text, at):
+        at = text.find(PEM_END, m.end())
+        at = len(text) if at < 0 else at
+        found.append((m.start(), at))
+    merged: list[tuple[int, int]] = []
+    for start, end in sorted(found):
+        if merged and start <= merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(merged[-1][1], end))
+        else:
+            merged.append((start, end))
+    return merged
+
+
+def _line_end(text: str, at: int) -> int:
+    end = text.find("\n", at)
+    return len(text) if end < 0 else end
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -99,13 +151,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def novel_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     found = []
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span(1)
-        if any(s < end and start < e for s, _, e in base) or not mixed(m[1]):
-            continue
-        before = text[max(0, start - AROUND) : start]
-        if novelty(before, m[1], text[end : end + AROUND]) >= NOVELTY:
-            found.append((start, 3, end))
+    for first, last in sensitive_regions(text):
+        for m in STRING.finditer(text, first, last):
+            start, end = m.span()
+            if any(s < end and start < e for s, _, e in base) or wordlike(m[0]):
+                continue
+            before = text[max(0, start - AROUND) : start]
+            if novelty(before, m[0], text[end : end + AROUND]) >= bound(m[0]):
+                found.append((start, 3, end))
     return found
 
 
