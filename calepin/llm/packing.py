@@ -1,6 +1,8 @@
 """Sum-of-squares packing of documents into sequences.
 
-Tokens come from the public tokenizer, one encoding a distinct word and slice.
+Tokens come from the public tokenizer, one encoding a distinct word and slice;
+a special token spelled out in a text is that token, as for the tokenizer as
+loaded from its file.
 A document's ids end with one separator id and are cut only if they exceed the
 capacity. Whole pieces of full length are sequences of their own. All others
 are dealt by a hash into groups of about ``group_size`` pieces; each group
@@ -15,10 +17,13 @@ each on their own; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -91,14 +96,41 @@ def word_ids(memo: Memo, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ids[spans(starts[which], lengths)], offsets
 
 
+@lru_cache(maxsize=1)
+def special_tokens(path: str) -> tuple[str, dict[str, int]]:
+    """A pattern of the tokens that the tokenizer takes out of a text first, as
+    they are spelled, and their ids."""
+    ids = {t["content"]: t["id"] for t in json.loads(Path(path).read_bytes())["added_tokens"]}
+    return "|".join(re.escape(t) for t in sorted(ids, key=len, reverse=True)), ids
+
+
+def text_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts one after another and their offsets. Between special
+    tokens a text is encoded by its words; these are lowered, so that special
+    tokens in capitals are ordinary words."""
+    memo, (pattern, special) = remembering(path), special_tokens(path)
+    if not pattern or not pc.any(pc.match_substring_regex(texts, pattern)).as_py():
+        return word_ids(memo, texts)
+    parts, marks, edges = [], [], [0]
+    for text in texts.to_pylist():
+        found = re.split(f"({pattern})", text)
+        parts += found[::2]
+        marks += [*(special[t] for t in found[1::2]), -1]
+        edges.append(len(parts))
+    ids, offsets = word_ids(memo, pa.array(parts, pa.string()))
+    marks = np.array(marks)
+    marked = marks >= 0
+    whole = np.insert(ids, offsets[1:][marked], marks[marked].astype(np.uint32))
+    return whole, (offsets + np.r_[0, np.cumsum(marked)])[edges]
+
+
 def cut(docs: DataFrame, path: str, capacity: int, separator: int) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece of every document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = remembering(path)
         for batch in text_slices(batches):
-            ids, offsets = word_ids(memo, filled(batch.column("text")))
+            ids, offsets = text_ids(path, filled(batch.column("text")))
             rows, pieces, starts, lengths, crcs = [], [], [], [], []
             for row in range(batch.num_rows):
                 own = np.append(ids[offsets[row] : offsets[row + 1]], np.uint32(separator))

@@ -84,6 +84,24 @@ def test_word_ids_equal_the_tokenizer():
         assert ids[offsets[k] : offsets[k + 1]].tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+SPECIAL = ["a<|endoftext|>b", "<|startoftext|><|endoftext|>", "<|ENDOFTEXT|> <|endo<|endoftext|>É", "no token", "", "hel<|endoftext|>lo's"]
+
+
+def test_special_tokens_equal_the_tokenizer_as_loaded(documents):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(WORDS)
+    texts = SPECIAL + random_texts(200, list("abÉ é\n|<") + [" the ", "<|endoftext|>", "<|startoftext|>", "\x1e"], 40)
+    ids, offsets = packing.text_ids(WORDS, pa.array(texts))
+    expected = [t.encode(x, add_special_tokens=False).ids for x in texts]
+    assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == expected
+    rows = packing.packed(documents(list(enumerate(SPECIAL))), WORDS).collect()
+    wanted = {i: np.array([*ids, 1], dtype="<u4") for i, ids in enumerate(expected[: len(SPECIAL)])}
+    assert {r.doc_id: (r.length, r.ids_crc32) for r in rows} == {
+        i: (len(x), zlib.crc32(x.tobytes())) for i, x in wanted.items()
+    }
+
+
 def check_packing(rows, given, capacity):
     t, texts = tokenizer(), {i: x or "" for i, x in given}
     expected = []
