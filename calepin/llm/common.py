@@ -9,6 +9,7 @@ import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -85,3 +86,25 @@ def text_slices(
 
 def filled(texts: pa.Array) -> pa.Array:
     return pc.fill_null(texts, "")
+
+
+def byte_table(changes: dict[str, str]) -> np.ndarray:
+    """For ``translated``: what each byte becomes, ASCII characters only."""
+    out = np.arange(256, dtype=np.uint8)
+    out[65:91] += 32  # A-Z to lower case
+    for characters, becomes in changes.items():
+        out[[ord(c) for c in characters]] = ord(becomes)
+    return out
+
+
+def translated(texts: pa.Array, bytes_to: np.ndarray) -> pa.Array:
+    """The texts (null: empty) with each byte replaced."""
+    texts = filled(texts)
+    if not len(texts):
+        return texts
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
+    start, end = int(offsets[0]), int(offsets[-1])
+    if start == end:
+        return texts
+    data = bytes_to[np.frombuffer(texts.buffers()[2], np.uint8)[start:end]]
+    return pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets - np.int32(start)), pa.py_buffer(data))

@@ -79,7 +79,48 @@ from given left join sizes using (doc_id)
 left join (select a as doc_id, min(b) as low from reach group by a) using (doc_id)
 """
 
+# Counts of all words and phrases, candidates cut in all ways, the lowest score.
+COLLOCATIONS = """
+with pieces as (
+  select g, unnest(regexp_split_to_array(
+    translate(coalesce(t, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as p
+  from (select coalesce(lang, 'und') as g, text as t from documents)
+), split as (
+  select g, [x for x in regexp_split_to_array(p, '[\x20\x09]+') if x <> ''] as w from pieces
+), places as (
+  select g, w, k, unnest(generate_series(1, len(w) - k + 1)) as i
+  from split, (select unnest([1, 2, 3]) as k) where len(w) >= k
+), counted as (
+  select g, k, array_to_string(w[i:i + k - 1], ' ') as s, count(*)::hugeint as f from places group by all
+), totals as (
+  select g, sum(f) as n from counted where k = 1 group by g
+), candidates as (
+  select g, k, s, f, string_split(s, ' ') as w from counted where k > 1 and f >= 10
+), cuts as (
+  select g, s, w, f, k, unnest(generate_series(1, k - 1)) as c from candidates
+), scores as (
+  select x.g, x.s, x.f as a, x.c, p.f as l, q.f as r, (1000000 * x.f * x.f) // (p.f * q.f) as score
+  from cuts x
+  join counted p on p.g = x.g and p.s = array_to_string(x.w[1:x.c], ' ')
+  join counted q on q.g = x.g and q.s = array_to_string(x.w[x.c + 1:], ' ')
+), lowest as (
+  select * from scores qualify row_number() over (partition by g, s order by score, c) = 1
+), inside as (
+  select g, array_to_string(w[unnest([1, 2]):][1:2], ' ') as s, f from candidates where k = 3
+), covers as (
+  select g, s, max(f) as longer from inside group by all
+), ranked as (
+  select z.g, z.s, a, l, r, score, row_number() over (partition by z.g order by score desc, a desc, z.s) as place
+  from lowest z left join covers using (g, s) where longer is null or 100 * longer < 50 * a
+)
+select x.g as lang, place::bigint as rank, s as phrase, a::bigint as a, l::bigint as l, r::bigint as r,
+  n::bigint as n, score::bigint as score
+from ranked x join totals using (g) where place <= 2000
+"""
+
 ORACLES: dict[str, str] = {
+    "op13_collocations": COLLOCATIONS,
     "op1_partenum_join": NGRAM_JOIN,
     "op3_quality_rules": RULE_MEASURES.format(docs="documents")
     + f"""

@@ -1,4 +1,4 @@
-"""The ten operators over their whole tables, and SQL where SQL can say the same."""
+"""The operators over their whole tables, and SQL where SQL can say the same."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from calepin.llm import (
+    collocations,
     graph_search,
     language_id,
     lm_scoring,
@@ -81,6 +82,10 @@ def op10_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mined(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -94,6 +99,7 @@ QUERIES: dict[str, Query] = {
         op8_sampled_splitters,
         op9_secret_novelty,
         op10_sum_of_squares,
+        op13_collocations,
     )
 }
 
