@@ -119,7 +119,75 @@ select x.g as lang, place::bigint as rank, s as phrase, a::bigint as a, l::bigin
 from ranked x join totals using (g) where place <= 2000
 """
 
+
+
+def leaf_text(lower: str = "{}") -> str:
+    fields = ["doc_id", "source", "lang", "n_chars", lower.format("text")]
+    return " || ".join(f"coalesce(strlen({x}::varchar) || ':' || {x}::varchar, '-')" for x in fields)
+
+
+A_TO_Z = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+# crc32, bit by bit.
+CRC = """xor(4294967295, list_reduce(
+  list_transform(string_split({}::varchar, ''), lambda c: ord(c)::bigint),
+  lambda a, b: list_reduce([0, 1, 2, 3, 4, 5, 6, 7]::bigint[],
+    lambda u, v: xor(u >> 1, 3988292384 * (u & 1)), xor(a, b)), 4294967295::bigint))"""
+
+# Trees level by level, then each leaf's way up, first to its subroot, then to the root.
+MERKLE = f"""
+with recursive given as (
+  select row_number() over () as r, doc_id, lang, sha256({leaf_text()}) as leaf,
+    case when {CRC.format("doc_id")} % 3 = 0 then sha256({leaf_text(A_TO_Z)}) end as claimed
+  from documents
+), leaves as (
+  select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as place,
+    count(*) over (partition by lang) as n
+  from given
+), nodes as (
+  select lang, 0 as level, place, leaf as node, n from leaves
+  union all
+  select lang, level + 1, place // 8, sha256(string_agg(node, '' order by place)), (max(n) + 7) // 8
+  from nodes where n > 1 group by lang, level, place // 8
+), runs as (
+  select lang, level, place // 8 as parent, list(node order by place) as run from nodes where n > 1 group by all
+), steps as (
+  select x.lang, x.level, place, array_to_string(run[1:place % 8], '') as b, array_to_string(run[place % 8 + 2:], '') as a
+  from nodes x join runs y on x.lang is not distinct from y.lang and x.level = y.level and place // 8 = parent
+), subroots as (
+  select lang, node as subroot, row_number() over (order by lang nulls first) - 1 as place, count(*) over () as n
+  from nodes where n = 1
+), tops as (
+  select 0 as level, place, subroot as node, n from subroots
+  union all
+  select level + 1, place // 8, sha256(string_agg(node, '' order by place)), (max(n) + 7) // 8
+  from tops where n > 1 group by level, place // 8
+), top_runs as (
+  select level, place // 8 as parent, list(node order by place) as run from tops where n > 1 group by all
+), top_steps as (
+  select x.level, place, array_to_string(run[1:place % 8], '') as b, array_to_string(run[place % 8 + 2:], '') as a
+  from tops x join top_runs y on x.level = y.level and place // 8 = parent
+), ways as (
+  select r, lang, 0 as level, place, '' as proof, coalesce(claimed, leaf) as h from leaves
+  union all
+  select r, x.lang, x.level + 1, x.place // 8, proof || b || a, sha256(b || h || a)
+  from ways x join steps y on x.lang is not distinct from y.lang and x.level = y.level and x.place = y.place
+), arrived as (
+  select * from ways qualify row_number() over (partition by r order by level desc) = 1
+), further as (
+  select r, 0 as level, y.place, proof, h from arrived x join subroots y on x.lang is not distinct from y.lang
+  union all
+  select r, x.level + 1, x.place // 8, proof || b || a, sha256(b || h || a)
+  from further x join top_steps y on x.level = y.level and x.place = y.place
+), ended as (
+  select * from further qualify row_number() over (partition by r order by level desc) = 1
+)
+select doc_id, leaf, subroot, top.node as root, sha256(proof) as proof_sha256, h as folded_root, h = top.node as verified
+from given join ended using (r) join subroots on given.lang is not distinct from subroots.lang,
+  (select node from tops where n = 1) top
+"""
+
 ORACLES: dict[str, str] = {
+    "op12_merkle_manifest": MERKLE,
     "op13_collocations": COLLOCATIONS,
     "op1_partenum_join": NGRAM_JOIN,
     "op3_quality_rules": RULE_MEASURES.format(docs="documents")

@@ -11,6 +11,7 @@ from calepin.llm import (
     graph_search,
     language_id,
     lm_scoring,
+    merkle,
     ngram_join,
     packing,
     quality_classifier,
@@ -82,6 +83,10 @@ def op10_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audited(table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.mined(table(spark, sf_dir, "documents"))
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Query] = {
         op8_sampled_splitters,
         op9_secret_novelty,
         op10_sum_of_squares,
+        op12_merkle_manifest,
         op13_collocations,
     )
 }
