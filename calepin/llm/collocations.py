@@ -30,11 +30,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from calepin.llm.common import byte_table, shared_folder, stored, text_slices, translated
+from calepin.llm.lm_scoring import hashes_of
 from calepin.llm.ngram_join import P1, P2, P3, mix
 from calepin.llm.ppm import words_of
 from calepin.llm.tables import spans
@@ -42,9 +42,9 @@ from calepin.llm.tables import spans
 MIN_COUNT, LONGEST, TOP, COVERED_PERCENT = 10, 3, 2000, 50
 UNKNOWN = "und"
 TO_PIECES = byte_table({".,;:!?\x0a\x0b\x0c\x0d": "\n", "\t": " "})
-# Phrases and words that a task holds before it hands them on. Packed ids of
-# three words fit 63 bits.
-HELD_PHRASES, HELD_WORDS = 3_000_000, 1 << 21
+# Phrases, words and places for pairs of lang and word that a task holds before
+# it hands them on. Packed numbers of three words fit 63 bits.
+HELD_PHRASES, HELD_WORDS, HELD_PAIRS = 3_000_000, 1 << 20, 1 << 23
 # Arcs that a prefix range should hold, ranges and sampled phrases at most, and
 # one of how many phrases a task offers for the sample.
 RANGE_ARCS, RANGES, SAMPLE, SAMPLE_EVERY = 1 << 18, 4096, 1 << 16, 256
@@ -141,25 +141,21 @@ def union(parts: list[CountTransducer]) -> CountTransducer:
 # Filters of frequent phrases
 
 
-def probes(hashes: np.ndarray) -> list[np.ndarray]:
-    return [(hashes >> np.uint64(s)) & np.uint64((1 << FILTER_BITS) - 1) for s in (0, 19, 38)]
+def probe(hashes: np.ndarray, k: int) -> np.ndarray:
+    return (hashes >> np.uint64(19 * k)) & np.uint64((1 << FILTER_BITS) - 1)
 
 
 def passes(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether a filter may hold each hash."""
-    out = np.ones(len(hashes), dtype=bool)
-    for at in probes(hashes):
-        out &= (bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    left = np.arange(len(hashes))
+    for k in range(3):  # most fail at once
+        at = probe(hashes[left], k)
+        left = left[(bits[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1]
+    out = np.zeros(len(hashes), dtype=bool)
+    out[left] = True
     return out
 
 
-def word_hashes(symbols: list[tuple[str, str]]) -> np.ndarray:
-    """Of (lang, word) pairs."""
-    return np.fromiter(
-        (xxhash.xxh3_64_intdigest(f"{lang}\n{word}") for lang, word in symbols), np.uint64, len(symbols)
-    )
-
-
 def longer(hashes: np.ndarray, word: np.ndarray) -> np.ndarray:
     """Hashes of phrases and one more word."""
     with np.errstate(over="ignore"):
@@ -176,11 +172,12 @@ def frequent_filter(frequent: DataFrame) -> np.ndarray:
             split = [p.split(" ") for p in batch.column("phrase").to_pylist()]
             if not split:
                 continue
-            columns = [word_hashes(list(zip(langs, words))) for words in zip(*split)]
+            own = hashes_of(langs)
+            columns = [longer(own, hashes_of(list(words))) for words in zip(*split)]
             hashes = columns[0]
             for word in columns[1:]:
                 hashes = longer(hashes, word)
-            for at in probes(hashes):
+            for at in (probe(hashes, k) for k in range(3)):
                 np.bitwise_or.at(bits, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
         used = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays(
@@ -210,28 +207,50 @@ class Symbols:
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[tuple[str, str], int] = {}
-        self.known: list[tuple[str, str]] = []
+        self.word_at: dict[str, int] = {}
+        self.lang_at: dict[str, int] = {}
+        self.words, self.langs = np.zeros(0, np.uint64), np.zeros(0, np.uint64)  # hashes
+        # Number of each lang's words, -2 for pairs not met.
+        self.table = np.full((4, 1 << 14), -2, dtype=np.int32)
+        self.pairs = np.zeros((0, 2), dtype=np.int64)
         self.hashes = np.zeros(0, dtype=np.uint64)
 
     def numbers(self, words: pa.Array, lang_of: np.ndarray, langs: list[str]) -> np.ndarray:
         coded = words.dictionary_encode()
-        spelled = coded.dictionary.to_pylist()
-        pair = lang_of * max(len(spelled), 1) + coded.indices.to_numpy()
-        distinct, which = np.unique(pair, return_inverse=True)
-        pairs = [(langs[p // len(spelled)], spelled[p % len(spelled)]) for p in distinct.tolist()]
-        new = [p for p in pairs if p not in self.place]
-        if new:
-            hashes = word_hashes(new)
-            good = np.ones(len(new), bool) if self.bits is None else passes(self.bits, hashes)
-            number = np.where(good, np.cumsum(good) - 1 + len(self.known), -1)
-            self.place.update(zip(new, number.tolist()))
-            self.known += [p for p, g in zip(new, good.tolist()) if g]
+        place, self.words = _places(coded.dictionary.to_pylist(), self.word_at, self.words)
+        word = place[coded.indices.to_numpy()]
+        place, self.langs = _places(langs, self.lang_at, self.langs)
+        lang = place[lang_of] if len(place) else lang_of
+        while self.table.shape[0] < len(self.langs) or self.table.shape[1] < len(self.words):
+            axis = int(self.table.shape[0] >= len(self.langs))
+            self.table = np.concatenate([self.table, np.full_like(self.table, -2)], axis=axis)
+        numbers = self.table[lang, word]
+        new = np.flatnonzero(numbers == -2)
+        if len(new):
+            pairs = np.unique(lang[new] << 32 | word[new])
+            pairs = np.stack([pairs >> 32, pairs & 0xFFFFFFFF], axis=1)
+            hashes = longer(self.langs[pairs[:, 0]], self.words[pairs[:, 1]])
+            good = np.ones(len(pairs), bool) if self.bits is None else passes(self.bits, hashes)
+            self.table[pairs[:, 0], pairs[:, 1]] = np.where(good, np.cumsum(good) - 1 + len(self.pairs), -1)
+            self.pairs = np.concatenate([self.pairs, pairs[good]])
             self.hashes = np.r_[self.hashes, hashes[good]]
-        return np.fromiter(map(self.place.__getitem__, pairs), np.int64, len(pairs))[which]
+            numbers = self.table[lang, word]
+        return numbers.astype(np.int64)
+
+    def known(self) -> list[tuple[str, str]]:
+        """(lang, word) by number."""
+        langs, words = list(self.lang_at), list(self.word_at)
+        return [(langs[a], words[b]) for a, b in self.pairs.tolist()]
 
     def full(self) -> bool:
-        return len(self.place) > HELD_WORDS // 2
+        return self.table.size > HELD_PAIRS or len(self.pairs) > HELD_WORDS // 2
+
+
+def _places(texts: list[str], at: dict[str, int], hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each text, new ones added, and the hashes of all by number."""
+    new = [t for t in texts if t not in at]
+    at.update(zip(new, range(len(at), len(at) + len(new))))
+    return np.fromiter(map(at.__getitem__, texts), np.int64, len(texts)), np.r_[hashes, hashes_of(new)]
 
 
 def numbered(batch: pa.RecordBatch, symbols: Symbols) -> tuple[np.ndarray, np.ndarray]:
@@ -249,26 +268,27 @@ def numbered(batch: pa.RecordBatch, symbols: Symbols) -> tuple[np.ndarray, np.nd
 # Counting
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
+def word_counts(docs: DataFrame, sample_every: int = SAMPLE_EVERY) -> DataFrame:
     """lang, phrase and f of every word (sampled false), and of one in
-    SAMPLE_EVERY two-word phrases the number of tasks that hold it."""
+    ``sample_every`` two-word phrases the number of tasks that hold it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, counts, sample = Symbols(), np.zeros(0, np.int64), set()
 
         def handed_on() -> Iterator[pa.RecordBatch]:
-            yield rows([s[0] for s in symbols.known], [s[1] for s in symbols.known], counts, False)
-            pairs = [(symbols.known[p >> 32], symbols.known[p & 0xFFFFFFFF][1]) for p in sample]
+            known = symbols.known()
+            yield rows([s[0] for s in known], [s[1] for s in known], counts, False)
+            pairs = [(known[p >> 32], known[p & 0xFFFFFFFF][1]) for p in sample]
             yield rows(
                 [a[0] for a, _ in pairs], [f"{a[1]} {b}" for a, b in pairs], np.ones(len(pairs), np.int64), True
             )
 
         for batch in text_slices(batches):
             ids, begins = numbered(batch, symbols)
-            counts = np.r_[counts, np.zeros(len(symbols.known) - len(counts), np.int64)]
+            counts = np.r_[counts, np.zeros(len(symbols.pairs) - len(counts), np.int64)]
             counts += np.bincount(ids, minlength=len(counts))
             first, second = ids[:-1][~begins[1:]], ids[1:][~begins[1:]]
-            drawn = longer(symbols.hashes[first], symbols.hashes[second]) % np.uint64(SAMPLE_EVERY) == 0
+            drawn = longer(symbols.hashes[first], symbols.hashes[second]) % np.uint64(sample_every) == 0
             sample.update((first[drawn] << 32 | second[drawn]).tolist())
             if symbols.full():
                 yield from handed_on()
@@ -294,13 +314,13 @@ def word_counts(docs: DataFrame) -> DataFrame:
     )
 
 
-def splitters(sample: DataFrame) -> list[tuple[str, str, str]]:
+def splitters(sample: DataFrame, sample_every: int = SAMPLE_EVERY, range_arcs: int = RANGE_ARCS) -> list[tuple[str, str, str]]:
     """(lang, first word, second word) at which ranges of about equally many arcs begin."""
     thin = max(1, -(-sample.count() // SAMPLE))
     drawn = sample.where(F.pmod(F.xxhash64("lang", "phrase"), F.lit(thin)) == 0)
     rows = sorted((r.lang, *r.phrase.split(" "), r.f) for r in drawn.collect())
     arcs = np.cumsum([r[3] for r in rows]) if rows else np.zeros(1, np.int64)
-    ranges = int(min(RANGES, max(1, arcs[-1] * SAMPLE_EVERY * thin // RANGE_ARCS)))
+    ranges = int(min(RANGES, max(1, arcs[-1] * sample_every * thin // range_arcs)))
     at = np.searchsorted(arcs, np.arange(1, ranges) * arcs[-1] / ranges)
     return sorted({rows[k][:3] for k in at.tolist()})
 
@@ -323,20 +343,29 @@ def cuts(
 
 
 def phrase_counts(
-    docs: DataFrame, length: int, words_filter, shorter_filter, bounds, min_count: int, folder: str
+    docs: DataFrame,
+    length: int,
+    words_filter,
+    shorter_filter,
+    bounds: list[tuple[str, str, str]],
+    min_count: int,
+    folder: str,
+    most: int = HELD_PHRASES,
 ) -> DataFrame:
     """lang, phrase and f of the phrases of so many words that occur often enough.
-    Their words pass one filter, the phrases one word shorter the other."""
+    Their words pass one filter, the phrases one word shorter the other. A task
+    holds about ``most`` phrases at a time."""
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols, held, many = Symbols(words_filter.value), [], 0
 
         def handed_on() -> Iterator[pa.RecordBatch]:
             packed, times = np.unique(np.concatenate(held), return_counts=True)
-            order = sorted(range(len(symbols.known)), key=symbols.known.__getitem__)
+            known = symbols.known()
+            order = sorted(range(len(known)), key=known.__getitem__)
             rank = np.empty(len(order), dtype=np.int64)
             rank[order] = np.arange(len(order))
-            known = [symbols.known[k] for k in order]
+            known = [known[k] for k in order]
             shifts = [21 * (length - 1 - k) for k in range(length)]
             columns = [rank[packed >> s & (1 << 21) - 1] for s in shifts]
             packed = sum((c << s for c, s in zip(columns, shifts)), np.zeros(len(packed), np.int64))
@@ -386,7 +415,7 @@ def phrase_counts(
                 packed = packed << 21 | ids[at + k]
             held.append(packed)
             many += len(packed)
-            if many > HELD_PHRASES or symbols.full():
+            if many > most or symbols.full():
                 if many:
                     yield from handed_on()
                 symbols.clear()
@@ -423,10 +452,10 @@ def phrase_counts(
                 part = pickle.loads(batch.column("body")[k].as_py())
                 held.append(part)
                 arcs += len(part.levels[-1][1])
-                if arcs > HELD_PHRASES:
+                if arcs > most:
                     held = [union(held)]
                     arcs = len(held[0].levels[-1][1])
-                    if arcs > HELD_PHRASES // 2:
+                    if arcs > most // 2:
                         whole = False
                         yield handed_on(False)
                         held, arcs = [], 0
@@ -456,22 +485,26 @@ def mined(
     top: int = TOP,
     lang: str = "lang",
     text: str = "text",
+    most: int = HELD_PHRASES,
+    sample_every: int = SAMPLE_EVERY,
+    range_arcs: int = RANGE_ARCS,
 ) -> DataFrame:
-    """lang, rank, phrase, a, l, r, n, score."""
+    """lang, rank, phrase, a, l, r, n, score. The last three parameters bound
+    what a task holds and change no result."""
     if longest not in (2, 3):
         raise ValueError("phrases have two or three words at most")
     spark = docs.sparkSession
     folder = shared_folder(spark)
     given = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    counted = stored(word_counts(given), folder, "words")
+    counted = stored(word_counts(given, sample_every), folder, "words")
     words = counted.where("not sampled").drop("sampled")
-    bounds = splitters(counted.where("sampled"))
+    bounds = splitters(counted.where("sampled"), sample_every, range_arcs)
     frequent = words.where(F.col("f") >= min_count)
     send = spark.sparkContext.broadcast
     word_bits = send(frequent_filter(frequent))
     levels, shorter = [frequent], None
     for length in range(2, longest + 1):
-        levels.append(phrase_counts(given, length, word_bits, shorter, bounds, min_count, folder))
+        levels.append(phrase_counts(given, length, word_bits, shorter, bounds, min_count, folder, most))
         if length < longest:
             shorter = send(frequent_filter(levels[-1]))
     candidates = levels[1].unionByName(levels[2]) if longest > 2 else levels[1]
@@ -502,7 +535,9 @@ def mined(
         # The most frequent longer candidate that holds each shorter one.
         longs = levels[2].withColumn("words", split)
         inside = (
-            longs.select("lang", "f", F.explode(F.array(part(F.col("words"), F.lit(1), F.lit(2)), part(F.col("words"), F.lit(2), F.lit(2)))).alias("phrase"))
+            longs.select(
+                "lang", "f", F.explode(F.array(*(part(F.col("words"), F.lit(k), F.lit(2)) for k in (1, 2)))).alias("phrase")
+            )
             .groupBy("lang", "phrase")
             .agg(F.max("f").alias("longer"))
         )

@@ -10,6 +10,7 @@ from calepin.llm import (
     collocations,
     graph_search,
     language_id,
+    licenses,
     lm_scoring,
     merkle,
     ngram_join,
@@ -83,6 +84,10 @@ def op10_sum_of_squares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op11_license_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.audited(table(spark, sf_dir, "documents"))
 
@@ -104,6 +109,7 @@ QUERIES: dict[str, Query] = {
         op8_sampled_splitters,
         op9_secret_novelty,
         op10_sum_of_squares,
+        op11_license_index,
         op12_merkle_manifest,
         op13_collocations,
     )
