@@ -616,15 +616,32 @@ def published_order(spark, sf_dir):
     counts = []
     for parts, level in files.items():
         table = spark.read.option("header", True).csv(layout.published(out, AS_OF, *parts))
-        place = Window.orderBy("fichier", "numero")
         key = F.struct(*rollups.SORT_KEYS[level])
-        ordered = table.select(
+        within = table.select(
             key.alias("cle"),
             F.col("_metadata.file_name").alias("fichier"),
+            F.col("_metadata.file_block_start").alias("bloc"),
             F.monotonically_increasing_id().alias("numero"),
-        ).select("cle", F.lag("cle").over(place).alias("avant"))
+        )
+        # In each block of a file its own rows, then a row a block.
+        before = F.lag("cle").over(Window.partitionBy("fichier", "bloc").orderBy("numero"))
+        blocks = (
+            within.withColumn("avant", before)
+            .groupBy("fichier", "bloc")
+            .agg(
+                F.count("*").alias("lignes"),
+                F.count_if(F.col("avant") > F.col("cle")).alias("deplacees"),
+                F.min_by("cle", "numero").alias("premiere"),
+                F.max_by("cle", "numero").alias("derniere"),
+            )
+        )
+        last = F.lag("derniere").over(Window.orderBy("fichier", "bloc"))
         counts.append(
-            ordered.agg(F.count("*").alias("lignes"), F.count_if(F.col("avant") > F.col("cle")).alias("deplacees"))
+            blocks.withColumn("avant", last)
+            .agg(
+                F.sum("lignes").alias("lignes"),
+                (F.sum("deplacees") + F.count_if(F.col("avant") > F.col("premiere"))).alias("deplacees"),
+            )
             .withColumn("niveau", F.lit(level))
         )
     return reduce(DataFrame.unionByName, counts)
