@@ -49,6 +49,9 @@ HELD_PHRASES, HELD_WORDS, HELD_PAIRS = 3_000_000, 1 << 20, 1 << 23
 # one of how many phrases a task offers for the sample.
 RANGE_ARCS, RANGES, SAMPLE, SAMPLE_EVERY = 1 << 18, 4096, 1 << 16, 256
 FILTER_BITS = 26
+TOP_PARTS = 16
+# Bytes of text that a task takes apart at a time.
+TEXT_BYTES = 8 << 20
 
 
 # Count transducers
@@ -283,7 +286,7 @@ def word_counts(docs: DataFrame, sample_every: int = SAMPLE_EVERY) -> DataFrame:
                 [a[0] for a, _ in pairs], [f"{a[1]} {b}" for a, b in pairs], np.ones(len(pairs), np.int64), True
             )
 
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=TEXT_BYTES):
             ids, begins = numbered(batch, symbols)
             counts = np.r_[counts, np.zeros(len(symbols.pairs) - len(counts), np.int64)]
             counts += np.bincount(ids, minlength=len(counts))
@@ -360,41 +363,43 @@ def phrase_counts(
         symbols, held, many = Symbols(words_filter.value), [], 0
 
         def handed_on() -> Iterator[pa.RecordBatch]:
-            packed, times = np.unique(np.concatenate(held), return_counts=True)
             known = symbols.known()
             order = sorted(range(len(known)), key=known.__getitem__)
             rank = np.empty(len(order), dtype=np.int64)
             rank[order] = np.arange(len(order))
             known = [known[k] for k in order]
-            shifts = [21 * (length - 1 - k) for k in range(length)]
-            columns = [rank[packed >> s & (1 << 21) - 1] for s in shifts]
-            packed = sum((c << s for c, s in zip(columns, shifts)), np.zeros(len(packed), np.int64))
-            order = np.argsort(packed)
-            packed, times = packed[order], times[order]
-            phrases = np.stack([c[order] for c in columns], axis=1)
-            # Languages follow one another: the first of each is a bound, too.
-            langs = [known[k][0] for k in phrases[:, 0].tolist()]
-            turns = [0, *(k for k in range(1, len(langs)) if langs[k] != langs[k - 1])]
+            shifts, low = [21 * (length - 1 - k) for k in range(length)], (1 << 21) - 1
+            for own in held:  # words by rank, so that phrases sort as their words do
+                ranked = sum((rank[own >> s & low] << s for s in shifts), np.zeros_like(own))
+                own[:] = ranked
+            packed, times = np.unique(np.concatenate(held), return_counts=True)
+            phrases = np.stack([packed >> s & low for s in shifts], axis=1)
+            # Languages follow one another: the first phrase of each is a bound, too.
+            first = [k for k in range(len(known)) if not k or known[k][0] != known[k - 1][0]]
+            turns = np.searchsorted(phrases[:, 0], first)
             at = np.searchsorted(packed, cuts(known, length, bounds))
-            edges = sorted({*at.tolist(), *turns, len(packed)})
+            edges = sorted({0, len(packed), *at.tolist(), *turns.tolist()})
             spelled = np.array([w for _, w in known], dtype=object)
-            ranges, bodies = np.searchsorted(at, edges[:-1], side="right"), []
+            lookup, bodies = np.zeros(len(known), dtype=np.int64), []
             for begin, end in zip(edges, edges[1:]):
-                used, labels = np.unique(phrases[begin:end], return_inverse=True)
+                used = np.zeros(len(known), dtype=bool)
+                used[phrases[begin:end]] = True
+                used = np.flatnonzero(used)
+                lookup[used] = np.arange(len(used))
                 part = CountTransducer.built(
-                    spelled[used].tolist(), labels.reshape(end - begin, length), times[begin:end]
+                    spelled[used].tolist(), lookup[phrases[begin:end]], times[begin:end]
                 )
                 bodies.append(pickle.dumps(part, protocol=5))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ranges.astype(np.int32)),
-                    pa.array([langs[k] for k in edges[:-1]], pa.string()),
+                    pa.array(np.searchsorted(at, edges[:-1], side="right").astype(np.int32)),
+                    pa.array([known[k][0] for k in phrases[edges[:-1], 0].tolist()], pa.string()),
                     pa.array(bodies, pa.binary()),
                 ],
                 names=["range", "lang", "body"],
             )
 
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, most=TEXT_BYTES):
             ids, begins = numbered(batch, symbols)
             good = ids >= 0
             good[1:] &= ~begins[1:]  # of a phrase's words after the first
@@ -402,14 +407,11 @@ def phrase_counts(
             for k in range(1, length):
                 at = at[at + k < len(ids)]
                 at = at[good[at + k]]
-            if shorter_filter is not None:
-                hashes = np.where(ids >= 0, symbols.hashes[ids], np.uint64(0)) if len(symbols.hashes) else None
-                for begin in (0, 1) if hashes is not None else ():
-                    own = hashes[at + begin]
-                    for k in range(1, length - 1):
-                        own = longer(own, hashes[at + begin + k])
-                    keep = passes(shorter_filter.value, own)
-                    at = at[keep]
+            for begin in (0, 1) if shorter_filter is not None and len(at) else ():
+                own = symbols.hashes[ids[at + begin]]
+                for k in range(1, length - 1):
+                    own = longer(own, symbols.hashes[ids[at + begin + k]])
+                at = at[passes(shorter_filter.value, own)]
             packed = np.zeros(len(at), dtype=np.int64)
             for k in range(length):
                 packed = packed << 21 | ids[at + k]
@@ -544,12 +546,14 @@ def mined(
         scored = scored.join(inside, ["lang", "phrase"], "left").where(
             F.col("longer").isNull() | (100 * F.col("longer") < COVERED_PERCENT * F.col("a"))
         )
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = (
-        scored.select("lang", "phrase", "a", "cut.score", "cut.l", "cut.r")
-        .withColumn("rank", F.row_number().over(best))
-        .where(F.col("rank") <= top)
-    )
+    # The first of some parts of a language, and of these the first: a task sees
+    # TOP_PARTS x top rows at most, however many candidates a language has.
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    deal = F.pmod(F.xxhash64("phrase"), F.lit(TOP_PARTS))
+    ranked = scored.select("lang", "phrase", "a", "cut.score", "cut.l", "cut.r", deal.alias("deal"))
+    for part_of in (("lang", "deal"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*part_of).orderBy(*order))
+        ranked = ranked.withColumn("rank", rank).where(F.col("rank") <= top)
     sizes = words.groupBy("lang").agg(F.sum("f").alias("n"))
     return ranked.join(sizes, "lang").select(
         "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"
