@@ -9,8 +9,11 @@ keeps a candidate unless one kept before is closer to it by the factor
 again. Each query runs a beam search in every shard, in blocks of queries, and
 the shards' answers are merged by Spark.
 
-Largest inner product becomes least distance by one more coordinate that gives
-all points of a shard the same length. Scores are inner products of the given
+A shard has a graph for each band of similar lengths, so that long vectors, the
+likely answers, are not drowned by short ones. Largest inner product becomes
+least distance by one more coordinate that gives all points of a band the same
+length. Bands are searched from the longest vectors down, as far as they can
+still hold an answer. Scores are inner products of the given
 vectors in double precision.
 
 Vectors that are null, zero or hold a null or non-finite component, and rows
@@ -35,11 +38,14 @@ SHARD_SIZE = 5_000
 BLOCK_SIZE = 4_096
 DEGREE = 32
 BUILD_BEAM = 64
-SEARCH_BEAM = 80
+SEARCH_BEAM = 200
 ALPHA = 1.2
 BATCH = 256
 # Open points that a search expands at a time.
 WIDTH = 4
+# The longest vector of a band is so many times the shortest, unless the band
+# would have fewer points than a small one.
+BAND_RATIO, SMALL_BAND = 1.3, 128
 
 
 class Graph:
@@ -184,6 +190,48 @@ class Graph:
         return self.search(np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32), beam)[0]
 
 
+class Shard:
+    """Points in bands of similar length, longest first, with a graph each. A
+    band is searched for those queries only that it can give a better answer:
+    no inner product exceeds the product of both lengths."""
+
+    def __init__(self, vectors: np.ndarray, degree: int = DEGREE, ratio: float = BAND_RATIO):
+        self.vectors = vectors
+        lengths = np.sqrt((vectors**2).sum(axis=1))
+        order = np.argsort(-lengths, kind="stable")
+        self.bands: list[tuple[float, np.ndarray, Graph]] = []
+        begin = 0
+        while begin < len(order):
+            top = lengths[order[begin]]
+            end = max(np.searchsorted(-lengths[order], -top / ratio, side="right"), begin + SMALL_BAND)
+            own = order[begin:end]
+            self.bands.append((float(top), own, Graph(vectors[own].astype(np.float32), degree)))
+            begin = end
+
+    def nearest(self, queries: np.ndarray, beam: int, kept: int) -> tuple[np.ndarray, np.ndarray]:
+        """Points of the largest inner products with each query and these, best
+        first; -1 and minus infinity where there are no more."""
+        wide = max(beam, kept)
+        found = np.full((len(queries), wide), -1, dtype=np.int64)
+        scores = np.full((len(queries), wide), -np.inf)
+        lengths = np.sqrt((queries**2).sum(axis=1))
+        for top, own, graph in self.bands:
+            # A little more than the bound, for its rounding.
+            worth = np.flatnonzero(lengths * top * (1 + 1e-9) >= scores[:, kept - 1])
+            if not len(worth):
+                continue
+            near = graph.nearest(queries[worth].astype(np.float32), wide)
+            points = np.where(near >= 0, own[near], -1)
+            value = np.einsum("bkd,bd->bk", self.vectors[points], queries[worth])
+            value = np.where(points >= 0, value, -np.inf)
+            all_found = np.concatenate([found[worth], points], axis=1)
+            all_scores = np.concatenate([scores[worth], value], axis=1)
+            order = np.argsort(-all_scores, axis=1, kind="stable")[:, :wide]
+            found[worth] = np.take_along_axis(all_found, order, axis=1)
+            scores[worth] = np.take_along_axis(all_scores, order, axis=1)
+        return found, scores
+
+
 def matrix(lists: pd.Series, width: int) -> np.ndarray:
     out = np.zeros((len(lists), width))
     for k, values in enumerate(lists):
@@ -238,8 +286,7 @@ def neighbours(
     def index(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values("class")
         vectors = matrix(shard["vector"], width)
-        graph = Graph(vectors.astype(np.float32))
-        body = pickle.dumps((graph, vectors, shard["ids"].map(list).tolist()), protocol=5)
+        body = pickle.dumps((Shard(vectors), shard["ids"].map(list).tolist()), protocol=5)
         return pd.DataFrame({"shard": [key[0]], "body": [body]})
 
     spread = F.pmod(F.xxhash64("class"), F.lit(shards)).cast("int").alias("shard")
@@ -253,16 +300,14 @@ def neighbours(
         names = ["class", "vec_id", "score"]
         if not len(shard) or not len(queries):
             return pd.DataFrame(columns=names)
-        graph, vectors, ids = pickle.loads(shard["body"].iloc[0])
-        wide = max(beam, kept)
+        graphs, ids = pickle.loads(shard["body"].iloc[0])
         found = []
         for begin in range(0, len(queries), BATCH):
             part = queries.iloc[begin : begin + BATCH]
             asked_for = matrix(part["vector"], width)
-            near = graph.nearest(asked_for.astype(np.float32), wide)
-            for name, query, points in zip(part["class"], asked_for, near):
+            for name, query, points in zip(part["class"], asked_for, graphs.nearest(asked_for, beam, kept)[0]):
                 points = points[points >= 0]
-                scores = (vectors[points] * query).sum(axis=1)
+                scores = (graphs.vectors[points] * query).sum(axis=1)
                 rows = sorted((-s, i) for s, p in zip(scores.tolist(), points.tolist()) for i in ids[p])
                 found += [(name, i, -s) for s, i in rows[:kept]]
         return pd.DataFrame(found, columns=names)

@@ -203,3 +203,35 @@ def test_recall_over_shards(spark):
     expected = brute_nearest(rows)
     hits = sum(len({i for i, _ in found[q]} & {i for i, _ in expected[q]}) for q in expected)
     assert hits >= 0.95 * 20 * len(expected)
+
+
+@pytest.mark.parametrize("lengths", ["equal", "uniform", "logarithmic"])
+def test_recall_of_a_full_shard(lengths):
+    """The registered parameters, on as many vectors as a shard holds."""
+    rng = np.random.default_rng(11)
+    points = rng.normal(size=(graph_search.SHARD_SIZE, 64))
+    if lengths != "equal":
+        points /= np.linalg.norm(points, axis=1, keepdims=True)
+        low_high = (0.1, 10) if lengths == "uniform" else (-1, 1)
+        factor = rng.uniform(*low_high, (len(points), 1))
+        points *= factor if lengths == "uniform" else 10**factor
+    asked = np.arange(0, len(points), 20)
+    products = points[asked] @ points.T
+    products[np.arange(len(asked)), asked] = -np.inf
+    expected = np.argsort(-products, axis=1)[:, : graph_search.NEAREST]
+    kept = graph_search.NEAREST + 1
+    found, _ = graph_search.Shard(points).nearest(points[asked], graph_search.SEARCH_BEAM, kept)
+    hits = 0
+    for q, own, wanted in zip(asked, found, expected):
+        own = own[own != q][: graph_search.NEAREST]
+        hits += len(set(own.tolist()) & set(wanted.tolist()))
+    assert hits >= 0.9 * expected.size
+
+
+def test_bands_left_out_hold_no_answer():
+    rng = np.random.default_rng(4)
+    points = rng.normal(size=(600, 8)) * np.repeat([9.0, 3.0, 1.0], 200)[:, None]
+    queries = points[::7]
+    found, scores = graph_search.Shard(points, ratio=1.1).nearest(queries, 600, 21)
+    expected = -np.sort(-(queries @ points.T), axis=1)[:, :21]
+    assert np.allclose(scores[:, :21], expected) and (found[:, :21] >= 0).all()
