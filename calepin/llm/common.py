@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -68,20 +69,40 @@ def stored(df: DataFrame, folder: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# What forgets the memory that an operator keeps in a worker process, by operator.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def make_room(keeps: str = "") -> None:
+    """Forget what other operators keep in this worker process, and return freed
+    memory to the system: a process that waits for its next task otherwise holds
+    what the last one needed at most."""
+    for name in [n for n in KEPT if n != keeps]:
+        KEPT.pop(name)()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def text_slices(
-    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES
+    batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES, keeps: str = ""
 ) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that each piece holds about so many bytes of text, one row at least."""
+    """Cut batches so that each piece holds about so many bytes of text, one row at
+    least. Memory freed meanwhile goes back when a piece is done with."""
+    make_room(keeps)
     for batch in batches:
         lengths = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for row, length in enumerate(lengths):
             if held and held + length > most:
                 yield batch.slice(start, row - start)
+                make_room(keeps)
                 start, held = row, 0
             held += int(length)
         if start < batch.num_rows:
             yield batch.slice(start)
+    make_room(keeps)
 
 
 def filled(texts: pa.Array) -> pa.Array:

@@ -15,7 +15,7 @@ in one fixed order, as many as any similar set must meet one of). Of two
 similar sets either one has enough groups under some seed, or both give
 prefixes: no pair is missed.
 
-Shingles that many documents of a bounded sample share (a licence line, a much
+Shingles that many documents of a sample share (a licence line, a much
 quoted passage) stand last in the fixed order and outside the partitions:
 leaving the same shingles out of all sets only shortens distances. What the
 sample holds changes how many candidates arise, never the result.
@@ -45,7 +45,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calepin.llm.common import shared_folder, stored, text_slices
+from calepin.llm.common import make_room, shared_folder, stored, text_slices
 from calepin.llm.components import components
 from calepin.llm.lm_scoring import hashes_of
 from calepin.llm.ppm import words_of
@@ -57,18 +57,20 @@ PERCENT = 80
 BAND = 1.25
 # Seeds that a set is dealt by until it has enough nonempty subsets.
 SEEDS = 2
-# Documents sampled for much used shingles, how many of them a shingle is in
-# at least, and how many such shingles are sent to the tasks at most.
-SAMPLE, USED, SENT_SHINGLES = 20_000, 3, 500_000
+# One of how many documents is sampled for much used shingles, how many are at
+# least, how many of them such a shingle is in, and how many are sent at most.
+SAMPLE_EVERY, SAMPLE, USED, SENT_SHINGLES = 3, 20_000, 3, 500_000
 SKETCH_BITS = 1024
 # Signatures that a task holds before it hands them on.
-HELD_SIGNATURES = 1_500_000
+HELD_SIGNATURES = 600_000
 # Members of a group are compared with centres first, a few a round, until so
 # few pairs of different components are left for each member, or until rounds
 # help no more; then such pairs are compared one by one.
 PAIRS_A_MEMBER = 100
 CENTRE_ROUNDS = 6
 CENTRES_A_ROUND = 3
+# Keys of a member by which a pair finds the one group to meet in.
+FIRST_KEYS = 32
 # Candidate ids that may be sent to all tasks; more are met by a shuffle join.
 SENT_IDS = 1_000_000
 
@@ -364,8 +366,8 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
 
 
 def much_used_shingles(docs: DataFrame, length: int) -> np.ndarray:
-    """Hashes of shingles that many documents of a bounded sample hold."""
-    share = min(1.0, SAMPLE / max(docs.count(), 1))
+    """Hashes of shingles that many documents of a sample hold, which grows with the input."""
+    share = min(1.0, max(1 / SAMPLE_EVERY, SAMPLE / max(docs.count(), 1)))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -410,6 +412,7 @@ def grouped(lists: DataFrame) -> DataFrame:
         ]
 
     def run(table: pa.Table) -> pa.Table:
+        make_room()
         keys, nodes, *_ = flat(table, SIGNATURE)
         order = np.argsort(keys, kind="stable")
         keys, nodes = keys[order], nodes[order]
@@ -595,14 +598,33 @@ def linked(
         last = stuck or few or round_ == CENTRE_ROUNDS
         before = left.members
         if last:
-            # Everyone outside a group's largest component against all others.
+            # Everyone outside a group's largest component against all others. Two
+            # members that share keys among their first ones meet under the
+            # least of these only; without such a key they meet wherever they do.
             largest = within.groupBy("key").agg(F.max_by("component", "c").alias("largest"))
-            outer = apart.join(largest, "key").where("component <> largest")
-            columns = ("node", "component", "n", "sketch")
-            x = outer.select("key", *(F.col(c).alias(f"{c}_x") for c in columns))
-            y = apart.select("key", *(F.col(c).alias(f"{c}_y") for c in columns))
-            met = x.withColumnRenamed("key", "key_x").join(
-                y, (F.col("key_x") == F.col("key")) & (F.col("component_x") != F.col("component_y")) & possible("x", "y")
+            first_keys = apart.groupBy("node").agg(
+                F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS).alias("keys")
+            )
+            rows = stored(
+                apart.drop("head", "size")
+                .join(largest, "key")
+                .withColumn("outer", F.col("component") != F.col("largest"))
+                .join(first_keys, "node"),
+                folder,
+                "last",
+            )
+            columns = ("node", "component", "n", "sketch", "keys", "outer")
+            x = rows.where("outer").select(F.col("key").alias("key_x"), *(F.col(c).alias(f"{c}_x") for c in columns))
+            y = rows.select("key", *(F.col(c).alias(f"{c}_y") for c in columns))
+            once = ~F.col("outer_y") | (F.col("node_x") < F.col("node_y"))
+            here = F.coalesce(F.array_min(F.array_intersect("keys_x", "keys_y")) == F.col("key"), F.lit(True))
+            met = x.join(
+                y,
+                (F.col("key_x") == F.col("key"))
+                & (F.col("component_x") != F.col("component_y"))
+                & once
+                & possible("x", "y")
+                & here,
             )
             pairs = met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"))
         else:

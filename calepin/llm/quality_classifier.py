@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from calepin.llm.common import SLICE_BYTES, filled, fold, text_slices
+from calepin.llm.common import SLICE_BYTES, filled, fold, make_room, text_slices
 from calepin.llm.quality_rules import stop_forms
 from calepin.llm.tables import sums
 
@@ -314,6 +314,7 @@ def score_column(spark, model: AdditiveModel, text: Column) -> Column:
 
     @F.arrow_udf(DoubleType())
     def score(texts: pa.Array) -> pa.Array:
+        make_room()
         parts, start, held = [], 0, 0
         lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
         for row, length in enumerate(lengths):

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from calepin.llm.common import filled, text_slices
+from calepin.llm.common import filled, make_room, text_slices
 
 KINDS = ("assign", "access", "hex", "novel")
 
@@ -224,6 +224,7 @@ def without_secrets(text: Column) -> Column:
 
     @F.arrow_udf(StringType())
     def run(texts: pa.Array) -> pa.Array:
+        make_room()
         out = []
         for row, worth in zip(texts, pc.match_substring_regex(texts, POSSIBLE).to_pylist()):
             body = row.as_py()
