@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calepin.llm.common import filled, shared_folder, stored, text_slices
+from calepin.llm.common import KEPT, filled, shared_folder, stored, text_slices
 from calepin.llm.tables import Memo, spans, sums
 
 CAPACITY = 4096
@@ -41,8 +41,8 @@ SEPARATOR = 1
 GROUP_SIZE = 200_000
 # Between words of one text, and how many words such a text has.
 BETWEEN, WORDS_A_TEXT = "\x1e", 500
-# Words that a worker process remembers: some 200 MB.
-WORDS_HELD = 1_000_000
+# Words that a worker process remembers: some 80 MB.
+WORDS_HELD = 400_000
 
 
 @lru_cache(maxsize=1)  # one a worker process, kept between its tasks
@@ -78,6 +78,7 @@ def remembering(path: str) -> Memo:
             ends = np.cumsum([len(ids) for ids in own[: len(words)]])
         return flat, np.r_[0, ends].astype(np.int64)
 
+    KEPT["packing"] = remembering.cache_clear
     return Memo(encode, WORDS_HELD)
 
 
@@ -129,7 +130,7 @@ def cut(docs: DataFrame, path: str, capacity: int, separator: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, keeps="packing"):
             ids, offsets = text_ids(path, filled(batch.column("text")))
             rows, pieces, starts, lengths, crcs = [], [], [], [], []
             for row in range(batch.num_rows):

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from calepin.llm.common import filled, text_slices
+from calepin.llm.common import KEPT, filled, text_slices
 from calepin.llm.tables import LongTable, Memo, spans, sums
 
 MARK = "▁"
@@ -291,6 +291,7 @@ def valid_text(raw: bytes) -> str:
 
 @lru_cache(maxsize=1)  # one a worker process, kept between its tasks
 def codec_of(vocabulary: bytes) -> Codec:
+    KEPT["codec"] = codec_of.cache_clear
     return Codec(pickle.loads(vocabulary))
 
 
@@ -332,7 +333,7 @@ def codec_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = codec_of(shared.value)
-        for batch in text_slices(batches):
+        for batch in text_slices(batches, keeps="codec"):
             yield digests(codec, batch)
 
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))

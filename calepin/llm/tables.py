@@ -63,9 +63,10 @@ def sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 class Memo:
-    """Remembers what ``encode`` returned for words seen before, up to ``bound``
-    of them; beyond, it forgets all and starts anew. ``encode`` takes a list of
-    words and returns their values one after another and their offsets."""
+    """Remembers what ``encode`` returned for words seen before, up to about
+    ``bound`` of them; beyond, it keeps those that were asked for again since it
+    last made room, half as many at most. ``encode`` takes a list of words and
+    returns their values one after another and their offsets."""
 
     def __init__(self, encode, bound: int = 400_000):
         self.encode, self.bound = encode, bound
@@ -76,18 +77,34 @@ class Memo:
         self.values: np.ndarray | None = None
         self.starts = np.zeros(0, dtype=np.int64)
         self.sizes = np.zeros(0, dtype=np.int64)
+        self.again = np.zeros(0, dtype=bool)
+
+    def _make_room(self) -> None:
+        kept = np.flatnonzero(self.again)
+        if self.values is None or len(kept) > self.bound // 2:
+            self._forget()
+            return
+        words = [w for w, again in zip(self.place, self.again.tolist()) if again]
+        self.place = dict(zip(words, range(len(words))))
+        self.sizes = self.sizes[kept]
+        self.values = self.values[spans(self.starts[kept], self.sizes)]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.again = np.zeros(len(kept), dtype=bool)
 
     def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All values kept, and of each of the distinct words start and size."""
         if len(self.place) > self.bound:
-            self._forget()
+            self._make_room()
+        held = len(self.place)
         new = [w for w in words if w not in self.place]
         if new or self.values is None:
             values, offsets = self.encode(new)
-            held = 0 if self.values is None else len(self.values)
+            before = 0 if self.values is None else len(self.values)
             self.values = values if self.values is None else np.concatenate([self.values, values])
-            self.starts = np.concatenate([self.starts, offsets[:-1] + held])
+            self.starts = np.concatenate([self.starts, offsets[:-1] + before])
             self.sizes = np.concatenate([self.sizes, np.diff(offsets)])
-            self.place.update(zip(new, range(len(self.place), len(self.starts))))
+            self.again = np.concatenate([self.again, np.zeros(len(new), dtype=bool)])
+            self.place.update(zip(new, range(held, len(self.starts))))
         at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
+        self.again[at[at < held]] = True
         return self.values, self.starts[at], self.sizes[at]

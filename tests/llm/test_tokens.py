@@ -8,6 +8,7 @@ import pytest
 
 from calepin.llm import packing, sentencepiece_codec
 from calepin.llm.queries import tokenizer_path
+from calepin.llm.tables import Memo
 
 PIECES, WORDS = tokenizer_path("piece_bpe_32k.model"), tokenizer_path("word_bpe_49k.json")
 
@@ -160,3 +161,22 @@ def test_placing_minimises_the_sum_of_squares():
         value = options[chosen] if chosen in held else new
         assert value == min([*options.values(), new])
         gaps[chosen] = held.get(chosen, 12) - length
+
+
+def test_memo_makes_room_and_stays_right():
+    asked = []
+
+    def encode(words):
+        asked.extend(words)
+        sizes = [len(w) for w in words]
+        return np.array([ord(c) for w in words for c in w], dtype=np.int64), np.r_[0, np.cumsum(sizes)].astype(np.int64)
+
+    memo, rng = Memo(encode, bound=50), random.Random(3)
+    common = [f"w{k}" for k in range(15)]
+    for turn in range(200):
+        words = sorted({*rng.sample(common, 10), *(f"rare{turn}-{k}" for k in range(5))}, key=lambda w: rng.random())
+        values, starts, sizes = memo.of(words)
+        assert ["".join(map(chr, values[s : s + n])) for s, n in zip(starts, sizes)] == words
+        assert len(memo.place) <= 50 + len(words)
+    # Common words are not encoded anew each time room is made.
+    assert sum(w in common for w in asked) < 100
