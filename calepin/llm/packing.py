@@ -41,6 +41,8 @@ SEPARATOR = 1
 GROUP_SIZE = 200_000
 # Between words of one text, and how many words such a text has.
 BETWEEN, WORDS_A_TEXT = "\x1e", 500
+# Plain words: letters and one mark at most. What tokens that end a word end with.
+PLAIN, WORD_END = "^[a-z]+[.,;:!?]?$", "</w>"
 # Words that a worker process remembers: some 80 MB.
 WORDS_HELD = 400_000
 
@@ -48,24 +50,41 @@ WORDS_HELD = 400_000
 @lru_cache(maxsize=1)  # one a worker process, kept between its tasks
 def remembering(path: str) -> Memo:
     """Ids of words by the tokenizer of a file. Words are encoded many to a
-    text, with a control character between them that is a token of its own."""
+    text. Plain ones are told apart by the tokens that end a word, all others by
+    a control character between them that is a token of its own."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     (between,) = tokenizer.encode(BETWEEN, add_special_tokens=False).ids
+    vocabulary = tokenizer.get_vocab(with_added_tokens=False)
+    ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+    ends_word[[k for token, k in vocabulary.items() if token.endswith(WORD_END)]] = True
 
     def many(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def flat_ids(texts: list[str]) -> np.ndarray:
+        return np.concatenate([np.zeros(0, np.uint32), *(np.array(i, dtype=np.uint32) for i in many(texts))])
+
+    def plain_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words one after another and how many each has. The letters
+        end with a token of a word's end, and a mark behind them is another."""
+        flat = flat_ids([" ".join(words[i : i + WORDS_A_TEXT]) for i in range(0, len(words), WORDS_A_TEXT)])
+        ends = np.flatnonzero(ends_word[flat]) + 1
+        last = np.cumsum([1 if w[-1].isalpha() else 2 for w in words], dtype=np.int64) - 1
+        return flat, np.diff(np.r_[0, ends[last]])
+
+    def marked_ids(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any words, by the control character between them."""
         plain = [w if BETWEEN not in w else "" for w in words]
-        texts = [
-            f" {BETWEEN} ".join(plain[i : i + WORDS_A_TEXT]) + f" {BETWEEN}"
-            for i in range(0, len(plain), WORDS_A_TEXT)
-        ]
-        flat = np.concatenate([np.zeros(0, np.uint32), *(np.array(i, dtype=np.uint32) for i in many(texts))])
+        flat = flat_ids(
+            [
+                f" {BETWEEN} ".join(plain[i : i + WORDS_A_TEXT]) + f" {BETWEEN}"
+                for i in range(0, len(plain), WORDS_A_TEXT)
+            ]
+        )
         marks = flat == between
         ends = np.flatnonzero(marks) - np.arange(len(words))
         flat = flat[~marks]
@@ -76,7 +95,19 @@ def remembering(path: str) -> Memo:
                     own[k] = np.array(many([w])[0], dtype=np.uint32)
             flat = np.concatenate(own)
             ends = np.cumsum([len(ids) for ids in own[: len(words)]])
-        return flat, np.r_[0, ends].astype(np.int64)
+        return flat, np.diff(np.r_[0, ends].astype(np.int64))
+
+    def encode(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        is_plain = pc.match_substring_regex(pa.array(words, pa.string()), PLAIN).to_numpy(zero_copy_only=False)
+        is_plain = is_plain.astype(bool) & ends_word.any()
+        order = np.r_[np.flatnonzero(is_plain), np.flatnonzero(~is_plain)]
+        turned = [words[k] for k in order.tolist()]
+        first = int(is_plain.sum())
+        parts = [plain_ids(turned[:first]), marked_ids(turned[first:])]
+        flat, lengths = (np.concatenate(x) for x in zip(*parts))
+        sizes, starts = np.empty_like(lengths), np.empty_like(lengths)
+        sizes[order], starts[order] = lengths, np.cumsum(lengths) - lengths
+        return flat[spans(starts, sizes)], np.r_[0, np.cumsum(sizes)]
 
     KEPT["packing"] = remembering.cache_clear
     return Memo(encode, WORDS_HELD)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -96,15 +98,17 @@ class Memo:
         if len(self.place) > self.bound:
             self._make_room()
         held = len(self.place)
-        new = [w for w in words if w not in self.place]
-        if new or self.values is None:
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        self.again[at[at >= 0]] = True
+        missing = np.flatnonzero(at < 0)
+        if len(missing) or self.values is None:
+            new = [words[k] for k in missing.tolist()]
             values, offsets = self.encode(new)
             before = 0 if self.values is None else len(self.values)
             self.values = values if self.values is None else np.concatenate([self.values, values])
             self.starts = np.concatenate([self.starts, offsets[:-1] + before])
             self.sizes = np.concatenate([self.sizes, np.diff(offsets)])
             self.again = np.concatenate([self.again, np.zeros(len(new), dtype=bool)])
-            self.place.update(zip(new, range(held, len(self.starts))))
-        at = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))
-        self.again[at[at < held]] = True
+            at[missing] = held + np.arange(len(new))
+            self.place.update(zip(new, at[missing].tolist()))
         return self.values, self.starts[at], self.sizes[at]
