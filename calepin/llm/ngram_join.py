@@ -42,6 +42,7 @@ from math import ceil, erf, exp, sqrt
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,6 +64,9 @@ SAMPLE_EVERY, SAMPLE, USED, SENT_SHINGLES = 3, 20_000, 3, 500_000
 SKETCH_BITS = 1024
 # Signatures that a task holds before it hands them on.
 HELD_SIGNATURES = 600_000
+# Bytes of text whose signatures meet in one task, about, and a prime by which
+# tasks begin at different parts.
+PART_BYTES, TURN = 32 << 20, 2_654_435_761
 # Members of a group are compared with centres first, a few a round, until so
 # few pairs of different components are left for each member, or until rounds
 # help no more; then such pairs are compared one by one.
@@ -326,8 +330,9 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
         shared |= ~first
         part = (keys[first] >> np.uint64(40)) % np.uint64(parts)
         deal = np.argsort(part, kind="stable")
-        bounds = np.searchsorted(part[deal], np.arange(parts + 1, dtype=np.uint64))
-        yield lists_of(SIGNATURE, list(range(parts)), bounds, keys[first][deal], nodes[first][deal])
+        own, begins = np.unique(part[deal], return_index=True)
+        bounds = np.r_[begins, len(deal)]
+        yield lists_of(SIGNATURE, own.tolist(), bounds, keys[first][deal], nodes[first][deal])
         cut = np.linspace(0, shared.sum(), 5).astype(int)
         yield lists_of(
             LOCAL, [(turn + k) % parts for k in range(4)], cut, keys[shared], nodes[shared], nodes[lead[shared]]
@@ -336,7 +341,8 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = LongTable(much_used.value) if much_used is not None else None
         seen: set[int] = set()
-        keys, nodes, held, turn = [], [], 0, 0
+        # What may go to any part is dealt in turn, by each task from another one on.
+        keys, nodes, held, turn = [], [], 0, TaskContext.get().partitionId() * TURN % parts
         for batch in text_slices(batches):
             sets = shingle_sets(batch.column("text"), length)
             ids = batch.column("doc_id").to_numpy()
@@ -365,9 +371,9 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
     return docs.mapInArrow(run, LISTS)
 
 
-def much_used_shingles(docs: DataFrame, length: int) -> np.ndarray:
+def much_used_shingles(docs: DataFrame, count: int, length: int) -> np.ndarray:
     """Hashes of shingles that many documents of a sample hold, which grows with the input."""
-    share = min(1.0, max(1 / SAMPLE_EVERY, SAMPLE / max(docs.count(), 1)))
+    share = min(1.0, max(1 / SAMPLE_EVERY, SAMPLE / max(count, 1)))
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -499,8 +505,10 @@ def joined(
     folder = shared_folder(spark)
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = given.where("doc_id is not null")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    much_used = spark.sparkContext.broadcast(much_used_shingles(rows, length))
+    size = rows.agg(F.count("*").alias("many"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    # A part is held in memory, so there are more of them the more text there is.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size.bytes // PART_BYTES))
+    much_used = spark.sparkContext.broadcast(much_used_shingles(rows, size.many, length))
     found = stored(grouped(emitted(rows, length, parts, much_used)), folder, "found")
     documents = found.where(F.col("kind") == DOCUMENT).select(
         F.col("node").alias("doc_id"), "n", F.col("key").alias("a"), F.col("check").alias("b")

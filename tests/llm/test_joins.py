@@ -67,6 +67,20 @@ def test_join_equals_all_pairs(documents, seed):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == groups(given)
 
 
+def test_parts_follow_the_size_of_the_texts(documents, monkeypatch):
+    """More parts than tasks change no result, and facts of documents are
+    spread over parts however few slices a task has."""
+    given = corpus(3)
+    docs = documents(given).repartition(16)
+    monkeypatch.setattr(ngram_join, "PART_BYTES", 1000)
+    rows = ngram_join.joined(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == groups(given)
+    dealt = ngram_join.emitted(docs, ngram_join.SHINGLE, 64).where(f"kind = {ngram_join.DOCUMENT}")
+    assert dealt.select("part").distinct().count() > 12
+    signatures = ngram_join.emitted(docs, ngram_join.SHINGLE, 64).where(f"kind = {ngram_join.SIGNATURE}")
+    assert signatures.where("size(keys) = 0").count() == 0
+
+
 def test_large_group_of_near_copies(documents, monkeypatch):
     """Centres first: no group is expanded into pairs while rounds are left."""
     rng = random.Random(4)
