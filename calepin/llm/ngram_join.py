@@ -15,10 +15,10 @@ in one fixed order, as many as any similar set must meet one of). Of two
 similar sets either one has enough groups under some seed, or both give
 prefixes: no pair is missed.
 
-Shingles that many documents of a sample share (a licence line, a much
-quoted passage) stand last in the fixed order and outside the partitions:
-leaving the same shingles out of all sets only shortens distances. What the
-sample holds changes how many candidates arise, never the result.
+Shingles that occur most in all documents (a licence line, a much quoted
+passage) stand last in the fixed order and outside the partitions: leaving the
+same shingles out of all sets only shortens distances. Which they are changes
+how many candidates arise, never the result.
 
 Each task sorts its own signatures and hands on one row a key, so a signature
 that a third of all sets share costs a row a task; its other members go
@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from calepin.llm.common import make_room, shared_folder, stored, text_slices
+from calepin.llm.common import filled, make_room, shared_folder, stored, text_slices
 from calepin.llm.components import components
 from calepin.llm.lm_scoring import hashes_of
 from calepin.llm.ppm import words_of
@@ -58,9 +58,11 @@ PERCENT = 80
 BAND = 1.25
 # Seeds that a set is dealt by until it has enough nonempty subsets.
 SEEDS = 2
-# One of how many documents is sampled for much used shingles, how many are at
-# least, how many of them such a shingle is in, and how many are sent at most.
-SAMPLE_EVERY, SAMPLE, USED, SENT_SHINGLES = 3, 20_000, 3, 500_000
+# How often a much used shingle occurs, how many such are sent at most, and
+# shingles that a task counts at a time.
+USED, SENT_SHINGLES, HELD_SHINGLES = 9, 500_000, 1 << 22
+# Texts that a task remembers to know copies by.
+KNOWN_TEXTS = 2_000_000
 SKETCH_BITS = 1024
 # Signatures that a task holds before it hands them on.
 HELD_SIGNATURES = 600_000
@@ -107,7 +109,8 @@ class Sets:
         return Sets(self.hashes[chosen], np.r_[0, np.cumsum(chosen)][self.offsets])
 
 
-def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> Sets:
+def shingle_hashes(texts: pa.Array, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Row and hash of every shingle, repeated ones each time."""
     words, offsets = words_of(texts)
     coded = words.dictionary_encode()
     known = hashes_of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
@@ -124,14 +127,18 @@ def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> Sets:
                 h = h * P1 + known[at + k]
             rows.append(np.repeat(own, many))
             hashes.append(mix(h * P1))
-    row, h = np.concatenate(rows), np.concatenate(hashes)
+    return np.concatenate(rows), np.concatenate(hashes)
+
+
+def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> Sets:
+    row, h = shingle_hashes(texts, length)
     order = np.argsort(h)
-    order = order[np.argsort(row[order].astype(np.uint16 if len(counts) < 65536 else np.int64), kind="stable")]
+    order = order[np.argsort(row[order].astype(np.uint16 if len(texts) < 65536 else np.int64), kind="stable")]
     row, h = row[order], h[order]
     new = np.ones(len(h), dtype=bool)
     new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
     row, h = row[new], h[new]
-    sizes = np.bincount(row, minlength=len(counts))
+    sizes = np.bincount(row, minlength=len(texts))
     return Sets(h, np.r_[0, np.cumsum(sizes)])
 
 
@@ -354,7 +361,7 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
                 if sizes[row] and key not in seen:
                     seen.add(key)
                     new.append(row)
-            if len(seen) > 2_000_000:
+            if len(seen) > KNOWN_TEXTS:
                 seen.clear()
             row, signature = signatures(sets, np.array(new, dtype=np.int64), known)
             keys.append(signature)
@@ -371,31 +378,36 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
     return docs.mapInArrow(run, LISTS)
 
 
-def much_used_shingles(docs: DataFrame, count: int, length: int) -> np.ndarray:
-    """Hashes of shingles that many documents of a sample hold, which grows with the input."""
-    share = min(1.0, max(1 / SAMPLE_EVERY, SAMPLE / max(count, 1)))
-    drawn = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) < int(share * (1 << 30))
+def much_used_shingles(docs: DataFrame, length: int) -> np.ndarray:
+    """Hashes of the shingles that occur most in all texts, copies that a task
+    meets again left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        hashes, counts = [], []
+        held, many = [np.zeros(0, np.uint64)], 0
+
+        def handed_on() -> pa.RecordBatch:
+            own, times = np.unique(np.concatenate(held), return_counts=True)
+            # One among these is left out: what occurs often, some task meets twice.
+            own, times = own[times > 1], times[times > 1]
+            return pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(times)], names=["key", "times"])
+
         for batch in text_slices(batches):
-            sets = shingle_sets(batch.column("text"), length)
-            a, _ = set_hashes(sets)
-            new = [row for row, key in enumerate(a.tolist()) if key not in seen and not seen.add(key)]
-            own, times = np.unique(sets.hashes[np.repeat(np.isin(np.arange(len(a)), new), sets.sizes)], return_counts=True)
-            hashes.append(own)
-            counts.append(times)
-        if hashes:
-            own, which = np.unique(np.concatenate(hashes), return_inverse=True)
-            times = np.bincount(which, weights=np.concatenate(counts))
-            # One in a task is left out: what many hold, some task meets twice.
-            own, times = own[times > 1], times[times > 1].astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(times)], names=["key", "times"])
+            texts = filled(batch.column("text"))
+            marks = hashes_of(texts.to_pylist()).tolist()
+            new = [row for row, mark in enumerate(marks) if mark not in seen and not seen.add(mark)]
+            _, hashes = shingle_hashes(texts.take(pa.array(new, pa.int32())), length)
+            held.append(hashes)
+            many += len(hashes)
+            if many > HELD_SHINGLES:
+                yield handed_on()
+                held, many = held[:1], 0
+            if len(seen) > KNOWN_TEXTS:
+                seen.clear()
+        yield handed_on()
 
     used = (
-        docs.where(drawn)
-        .select("text")
+        docs.select("text")
         .mapInArrow(run, "key bigint, times bigint")
         .groupBy("key")
         .agg(F.sum("times").alias("times"))
@@ -505,10 +517,10 @@ def joined(
     folder = shared_folder(spark)
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = given.where("doc_id is not null")
-    size = rows.agg(F.count("*").alias("many"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     # A part is held in memory, so there are more of them the more text there is.
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size.bytes // PART_BYTES))
-    much_used = spark.sparkContext.broadcast(much_used_shingles(rows, size.many, length))
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
+    much_used = spark.sparkContext.broadcast(much_used_shingles(rows, length))
     found = stored(grouped(emitted(rows, length, parts, much_used)), folder, "found")
     documents = found.where(F.col("kind") == DOCUMENT).select(
         F.col("node").alias("doc_id"), "n", F.col("key").alias("a"), F.col("check").alias("b")

@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from calepin.llm import graph_search, ngram_join
@@ -81,6 +82,20 @@ def test_parts_follow_the_size_of_the_texts(documents, monkeypatch):
     assert signatures.where("size(keys) = 0").count() == 0
 
 
+def test_much_used_shingles_of_all_texts(documents, monkeypatch):
+    """Counted over all texts, copies once, whatever a task holds at a time."""
+    line = "this line stands in many of the texts"
+    texts = [f"{line} number {k} of its own words {k}" for k in range(30)]
+    copies = ["copies of one text count once for all of them"] * 40
+    docs = documents(list(enumerate(texts + copies + ["", None]))).coalesce(1).select("doc_id", "text")
+    used = set(ngram_join.much_used_shingles(docs, 5).tolist())
+    given = [ngram_join.shingle_sets(pa.array([t])).hashes.tolist() for t in (line, copies[0])]
+    assert set(given[0]) <= used and not set(given[1]) & used
+    monkeypatch.setattr(ngram_join, "HELD_SHINGLES", 100)
+    assert set(given[0]) <= set(ngram_join.much_used_shingles(docs, 5).tolist())
+    assert not len(ngram_join.much_used_shingles(docs.limit(0), 5))
+
+
 def test_large_group_of_near_copies(documents, monkeypatch):
     """Centres first: no group is expanded into pairs while rounds are left."""
     rng = random.Random(4)
