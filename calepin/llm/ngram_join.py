@@ -61,6 +61,8 @@ SEEDS = 2
 # How often a much used shingle occurs, how many such are sent at most, and
 # shingles that a task counts at a time.
 USED, SENT_SHINGLES, HELD_SHINGLES = 9, 500_000, 1 << 22
+# Bytes of a word that is hashed along with all others.
+LONG_WORD = 64
 # Texts that a task remembers to know copies by.
 KNOWN_TEXTS = 2_000_000
 SKETCH_BITS = 1024
@@ -109,37 +111,72 @@ class Sets:
         return Sets(self.hashes[chosen], np.r_[0, np.cumsum(chosen)][self.offsets])
 
 
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """Hashes of all words at once, eight bytes a step; long ones one by one."""
+    if not len(words):
+        return np.zeros(0, dtype=np.uint64)
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+    starts, sizes = offsets[:-1].astype(np.int64) - offsets[0], np.diff(offsets)
+    data = np.zeros(int(offsets[-1] - offsets[0]) + 8, dtype=np.uint8)
+    if len(data) > 8:
+        data[:-8] = np.frombuffer(words.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    read = np.ndarray((len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        h = mix((read[starts] & masks[np.minimum(sizes, 8)]) ^ mix(sizes.astype(np.uint64) * P1))
+        for at in range(8, LONG_WORD, 8):
+            on = np.flatnonzero((sizes > at) & (sizes <= LONG_WORD))
+            if not len(on):
+                break
+            h[on] = mix(h[on] * P1 + (read[starts[on] + at] & masks[np.minimum(sizes[on] - at, 8)]))
+    long = np.flatnonzero(sizes > LONG_WORD)
+    if len(long):
+        h[long] = hashes_of(words.take(pa.array(long)).to_pylist())
+    return h
+
+
 def shingle_hashes(texts: pa.Array, length: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Row and hash of every shingle, repeated ones each time."""
+    """Hash of every shingle, repeated ones each time, text after text, and the
+    offsets of each text's."""
     words, offsets = words_of(texts)
-    coded = words.dictionary_encode()
-    known = hashes_of(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+    known = word_hashes(words)
     counts = np.diff(offsets)
-    rows, hashes = [], []
+    # The whole of a short text is one shingle.
+    held = np.r_[0, np.cumsum(np.where(counts > 0, np.maximum(counts - length + 1, 1), 0))]
+    inside = np.ones(max(len(known) - length + 1, 0), dtype=bool)  # windows within one text
+    for k in range(1, length):
+        over = offsets[1:][counts >= k] - k
+        inside[over[over < len(inside)]] = False
     with np.errstate(over="ignore"):
-        for n in range(1, length + 1):
-            # The whole of a short text is one shingle.
-            own = np.flatnonzero(counts == n) if n < length else np.flatnonzero(counts >= n)
-            many = np.maximum(counts[own] - n + 1, 1)
-            at = spans(offsets[own], many)
-            h = np.full(len(at), n, dtype=np.uint64)
-            for k in range(n):
-                h = h * P1 + known[at + k]
-            rows.append(np.repeat(own, many))
-            hashes.append(mix(h * P1))
-    return np.concatenate(rows), np.concatenate(hashes)
+        h = np.full(len(inside), length, dtype=np.uint64)
+        for k in range(length):  # of neighbouring words, without a copy of them
+            h *= P1
+            h += known[k : k + len(inside)]
+        h = h[inside]
+        short = np.flatnonzero((counts > 0) & (counts < length))
+        if len(short):
+            every = np.empty(held[-1], dtype=np.uint64)
+            whole = np.ones(len(every), dtype=bool)
+            whole[held[short]] = False
+            every[whole] = h
+            for n in range(1, length):
+                own = short[counts[short] == n]
+                h = np.full(len(own), n, dtype=np.uint64)
+                for k in range(n):
+                    h = h * P1 + known[offsets[own] + k]
+                every[held[own]] = h
+            h = every
+        return mix(h * P1), held
 
 
 def shingle_sets(texts: pa.Array, length: int = SHINGLE) -> Sets:
-    row, h = shingle_hashes(texts, length)
-    order = np.argsort(h)
-    order = order[np.argsort(row[order].astype(np.uint16 if len(texts) < 65536 else np.int64), kind="stable")]
-    row, h = row[order], h[order]
+    h, held = shingle_hashes(texts, length)
+    for begin, end in zip(held[:-1].tolist(), held[1:].tolist()):
+        h[begin:end].sort()
     new = np.ones(len(h), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-    row, h = row[new], h[new]
-    sizes = np.bincount(row, minlength=len(texts))
-    return Sets(h, np.r_[0, np.cumsum(sizes)])
+    new[1:] = h[1:] != h[:-1]
+    new[held[:-1][held[1:] > held[:-1]]] = True
+    return Sets(h[new], np.r_[0, np.cumsum(new)][held])
 
 
 def set_hashes(sets: Sets) -> tuple[np.ndarray, np.ndarray]:
@@ -378,44 +415,57 @@ def emitted(docs: DataFrame, length: int, parts: int, much_used=None) -> DataFra
     return docs.mapInArrow(run, LISTS)
 
 
-def much_used_shingles(docs: DataFrame, length: int) -> np.ndarray:
+def usage(docs: DataFrame, length: int) -> tuple[np.ndarray, int]:
     """Hashes of the shingles that occur most in all texts, copies that a task
-    meets again left out."""
+    meets again left out, and the bytes of all texts, copies included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
-        held, many = [np.zeros(0, np.uint64)], 0
+        held, many, size = [np.zeros(0, np.uint64)], 0, 0
 
         def handed_on() -> pa.RecordBatch:
-            own, times = np.unique(np.concatenate(held), return_counts=True)
+            hashes = np.concatenate(held)
+            del held[1:]
+            hashes.sort()
             # One among these is left out: what occurs often, some task meets twice.
-            own, times = own[times > 1], times[times > 1]
+            own, times = np.unique(hashes[1:][hashes[1:] == hashes[:-1]], return_counts=True)
+            times += 1
             return pa.RecordBatch.from_arrays([pa.array(own.view(np.int64)), pa.array(times)], names=["key", "times"])
 
         for batch in text_slices(batches):
             texts = filled(batch.column("text"))
+            size += pc.sum(pc.binary_length(texts)).as_py() or 0
             marks = hashes_of(texts.to_pylist()).tolist()
             new = [row for row, mark in enumerate(marks) if mark not in seen and not seen.add(mark)]
-            _, hashes = shingle_hashes(texts.take(pa.array(new, pa.int32())), length)
+            hashes, _ = shingle_hashes(texts.take(pa.array(new, pa.int32())), length)
             held.append(hashes)
             many += len(hashes)
             if many > HELD_SHINGLES:
                 yield handed_on()
-                held, many = held[:1], 0
+                many = 0
             if len(seen) > KNOWN_TEXTS:
                 seen.clear()
         yield handed_on()
+        # The row without a key has the bytes.
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([size], pa.int64())], names=["key", "times"])
 
     used = (
         docs.select("text")
         .mapInArrow(run, "key bigint, times bigint")
         .groupBy("key")
         .agg(F.sum("times").alias("times"))
-        .where(F.col("times") >= USED)
-        .orderBy(F.desc("times"), "key")
-        .limit(SENT_SHINGLES)
+        .where((F.col("times") >= USED) | F.col("key").isNull())
+        .orderBy(F.col("key").isNotNull(), F.desc("times"), "key")
+        .limit(SENT_SHINGLES + 1)
+        .toArrow()
     )
-    return used.select("key").toArrow()["key"].to_numpy().view(np.uint64)
+    keyed = used.filter(pc.is_valid(used["key"]))
+    size = pc.sum(used.filter(pc.is_null(used["key"]))["times"]).as_py() or 0
+    return keyed["key"].to_numpy()[:SENT_SHINGLES].view(np.uint64), size
+
+
+def much_used_shingles(docs: DataFrame, length: int) -> np.ndarray:
+    return usage(docs, length)[0]
 
 
 def grouped(lists: DataFrame) -> DataFrame:
@@ -517,10 +567,10 @@ def joined(
     folder = shared_folder(spark)
     given = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = given.where("doc_id is not null")
-    size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    used, size = usage(rows, length)
     # A part is held in memory, so there are more of them the more text there is.
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // PART_BYTES))
-    much_used = spark.sparkContext.broadcast(much_used_shingles(rows, length))
+    much_used = spark.sparkContext.broadcast(used)
     found = stored(grouped(emitted(rows, length, parts, much_used)), folder, "found")
     documents = found.where(F.col("kind") == DOCUMENT).select(
         F.col("node").alias("doc_id"), "n", F.col("key").alias("a"), F.col("check").alias("b")

@@ -1,4 +1,5 @@
 import collections
+import itertools
 import random
 import re
 
@@ -96,6 +97,29 @@ def test_much_used_shingles_of_all_texts(documents, monkeypatch):
     assert not len(ngram_join.much_used_shingles(docs.limit(0), 5))
 
 
+def test_words_and_shingles_of_whole_columns():
+    """Words are hashed all at once, and texts measured as shingles are counted."""
+    rng = random.Random(8)
+    words = {"".join(rng.choice("ab\0é") for _ in range(n)) for n in (1, 7, 8, 9, 16, 17, 63, 64, 65, 200) for _ in range(30)}
+    words = pa.array(sorted(words))
+    hashes = ngram_join.word_hashes(words)
+    assert len(set(hashes.tolist())) == len(words)
+    assert (ngram_join.word_hashes(words.slice(5, 40)) == hashes[5:45]).all()
+    assert not len(ngram_join.word_hashes(pa.array([], pa.string())))
+    texts = [None, "", " \n"] + [" ".join(rng.choice("abc") for _ in range(rng.randrange(12))) for _ in range(60)]
+    sets = ngram_join.shingle_sets(pa.array(texts).slice(1))
+    given = [set(sets.hashes[a:b].tolist()) for a, b in itertools.pairwise(sets.offsets)]
+    plain = [shingles(t) for t in texts[1:]]
+    assert sets.sizes.tolist() == [len(x) for x in plain]
+    assert all(len(a & b) == len(x & y) for a, x in zip(given, plain) for b, y in zip(given, plain))
+
+
+def test_bytes_of_all_texts(documents):
+    docs = documents([(1, "é one two"), (2, None), (3, ""), (4, "é one two"), (None, "x")])
+    assert ngram_join.usage(docs, 5)[1] == 10 + 10 + 1
+    assert ngram_join.usage(docs.limit(0), 5)[1] == 0
+
+
 def test_large_group_of_near_copies(documents, monkeypatch):
     """Centres first: no group is expanded into pairs while rounds are left."""
     rng = random.Random(4)
