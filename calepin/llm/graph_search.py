@@ -36,6 +36,8 @@ from calepin.llm.common import shared_folder, stored
 NEAREST = 20
 SHARD_SIZE = 5_000
 BLOCK_SIZE = 4_096
+# Tasks for each shard, or shard and block, so that few of them get two.
+TASKS_A_SHARD = 2
 DEGREE = 32
 BUILD_BEAM = 64
 SEARCH_BEAM = 200
@@ -114,7 +116,7 @@ class Graph:
         width = int((candidates >= 0).sum(axis=1).max(initial=0))
         candidates = -np.sort(-candidates, axis=1)[:, :width]
         there = candidates >= 0
-        points = self.points[np.where(there, candidates, 0)]
+        points = self.points.take(np.where(there, candidates, 0), axis=0)
         own = self.points[nodes]
         norms = (points**2).sum(axis=2)
         near = norms + self.norms[nodes][:, None] - 2 * np.einsum("bcd,bd->bc", points, own)
@@ -138,7 +140,6 @@ class Graph:
     def search(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
         """The beam's points and squared distances for each query, nearest
         first (-1 and infinity where the graph ended)."""
-        rows = np.arange(len(queries))
         count = len(self.points)
         beam = min(beam, count)
         norms = (queries**2).sum(axis=1)
@@ -155,14 +156,17 @@ class Graph:
             if not len(active):
                 return ids, far
             # The nearest open points of each query, and their unseen neighbours.
-            pick = np.argsort(~open_[active], axis=1, kind="stable")[:, :WIDTH]
-            real = np.take_along_axis(open_[active], pick, axis=1)
-            open_[active[:, None], pick] &= ~real
-            chosen = np.where(real, ids[active[:, None], pick], 0)
-            near = np.where(real[:, :, None], self.edges[chosen], -1).reshape(len(active), -1)
-            near = -np.sort(-near, axis=1)
+            near = np.full((len(active), WIDTH, self.degree), -1, dtype=np.int32)
+            for k in range(WIDTH):
+                pick = open_[active].argmax(axis=1)
+                real = open_[active, pick]
+                if not real.any():
+                    break
+                open_[active, pick] = False
+                near[real, k] = self.edges[ids[active[real], pick[real]]]
+            near = -np.sort(-near.reshape(len(active), -1), axis=1)
             near[:, 1:][near[:, 1:] == near[:, :-1]] = -1
-            fresh = (near >= 0) & ~seen[active[:, None], np.where(near >= 0, near, 0)]
+            fresh = (near >= 0) & ~seen.take(active[:, None] * count + np.where(near >= 0, near, 0))
             near = np.where(fresh, near, -1)
             width = int(fresh.sum(axis=1).max(initial=0))
             if not width:
@@ -174,17 +178,26 @@ class Graph:
             at = np.where(fresh, near, 0)
             distance = (
                 norms[active][:, None]
-                + self.norms[at]
-                - 2 * np.einsum("bcd,bd->bc", self.points[at], queries[active])
+                + self.norms.take(at)
+                - 2 * np.einsum("bcd,bd->bc", self.points.take(at, axis=0), queries[active])
             )
-            distance = np.where(fresh, np.maximum(distance, 0), np.inf)
-            all_ids = np.concatenate([ids[active], near], axis=1)
-            all_far = np.concatenate([far[active], distance], axis=1)
-            all_open = np.concatenate([open_[active], fresh], axis=1)
+            # Those that come into the beam; of most queries, soon few or none do.
+            enters = fresh & (np.maximum(distance, 0) < far[active, -1:])
+            width = int(enters.sum(axis=1).max(initial=0))
+            if not width:
+                continue
+            rows = np.flatnonzero(enters.any(axis=1))
+            order = np.argsort(~enters[rows], axis=1, kind="stable")[:, :width]
+            rows = rows[:, None]
+            enters, own = enters[rows, order], active[rows[:, 0]]
+            distance = np.where(enters, np.maximum(distance[rows, order], 0), np.inf)
+            all_ids = np.concatenate([ids[own], np.where(enters, near[rows, order], -1)], axis=1)
+            all_far = np.concatenate([far[own], distance], axis=1)
+            all_open = np.concatenate([open_[own], enters], axis=1)
             order = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
-            ids[active] = np.take_along_axis(all_ids, order, axis=1)
-            far[active] = np.take_along_axis(all_far, order, axis=1)
-            open_[active] = np.take_along_axis(all_open, order, axis=1)
+            ids[own] = np.take_along_axis(all_ids, order, axis=1)
+            far[own] = np.take_along_axis(all_far, order, axis=1)
+            open_[own] = np.take_along_axis(all_open, order, axis=1)
 
     def nearest(self, queries: np.ndarray, beam: int) -> np.ndarray:
         return self.search(np.concatenate([queries, np.zeros((len(queries), 1))], axis=1).astype(np.float32), beam)[0]
@@ -265,7 +278,6 @@ def neighbours(
     given = stored(
         usable(rows, vec_id, vector).groupBy("vec_id").agg(F.min("vector").alias("vector")), folder, "given"
     )
-    width = given.agg(F.coalesce(F.max(F.size("vector")), F.lit(0))).first()[0]
     kept = nearest + 1  # one of them may be the query itself
     first = Window.partitionBy("vector").orderBy("vec_id")
     classes = stored(
@@ -277,7 +289,8 @@ def neighbours(
         folder,
         "classes",
     )
-    shards = max(1, -(-classes.count() // shard_size))
+    count, width = classes.agg(F.count("*"), F.coalesce(F.max(F.size("vector")), F.lit(0))).first()
+    shards = max(1, -(-count // shard_size))
     asked = given.where(F.col("vec_id") % every == 0).join(classes.select("vector", "class"), "vector")
     asked = stored(asked.select("vec_id", "class", "vector"), folder, "asked")
     distinct = asked.groupBy("class").agg(F.first("vector").alias("vector"))
@@ -290,8 +303,10 @@ def neighbours(
         return pd.DataFrame({"shard": [key[0]], "body": [body]})
 
     spread = F.pmod(F.xxhash64("class"), F.lit(shards)).cast("int").alias("shard")
+    # A shard is little to read and much to compute: tasks by number, not by size.
+    dealt_shards = classes.select("class", "ids", "vector", spread).repartition(TASKS_A_SHARD * shards, "shard")
     graphs = stored(
-        classes.select("class", "ids", "vector", spread).groupBy("shard").applyInPandas(index, "shard int, body binary"),
+        dealt_shards.groupBy("shard").applyInPandas(index, "shard int, body binary"),
         folder,
         "graphs",
     )
@@ -308,6 +323,9 @@ def neighbours(
             for name, query, points in zip(part["class"], asked_for, graphs.nearest(asked_for, beam, kept)[0]):
                 points = points[points >= 0]
                 scores = (graphs.vectors[points] * query).sum(axis=1)
+                if len(points) > kept:  # each has an id, so that the others are beyond what is kept
+                    best = scores >= np.partition(scores, -kept)[-kept]
+                    points, scores = points[best], scores[best]
                 rows = sorted((-s, i) for s, p in zip(scores.tolist(), points.tolist()) for i in ids[p])
                 found += [(name, i, -s) for s, i in rows[:kept]]
         return pd.DataFrame(found, columns=names)
@@ -315,10 +333,14 @@ def neighbours(
     each_block = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     each_shard = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
     dealt = distinct.withColumn("block", F.pmod(F.xxhash64("class", F.lit(1)), F.lit(blocks)).cast("int"))
+    tasks = TASKS_A_SHARD * shards * blocks
     searched = (
         graphs.withColumn("block", each_block)
+        .repartition(tasks, "shard", "block")
         .groupBy("shard", "block")
-        .cogroup(dealt.withColumn("shard", each_shard).groupBy("shard", "block"))
+        .cogroup(
+            dealt.withColumn("shard", each_shard).repartition(tasks, "shard", "block").groupBy("shard", "block")
+        )
         .applyInPandas(answer, "class long, vec_id long, score double")
     )
     best = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id")

@@ -248,6 +248,23 @@ def test_ties_go_to_smaller_ids(spark):
     assert [i for i, _ in found[40]] == list(range(20))
 
 
+def test_ties_of_different_vectors(spark):
+    """More of one score than are kept: the smallest ids of all of them count."""
+    rows = [(k, [1.0, (k * 37 % 120) / 16], 0, "x") for k in range(1, 121)] + [(200, [2.0, 0.0], 0, "x")]
+    found = answers(graph_search.neighbours(vectors(spark, rows)))
+    assert found[200] == [(k, 2.0) for k in range(1, 21)]
+
+
+def test_shards_are_tasks_of_their_own(spark, tmp_path, monkeypatch):
+    """A shard is small to read, and still not joined with others in a task."""
+    monkeypatch.setattr(graph_search, "shared_folder", lambda spark: str(tmp_path))
+    points = np.random.default_rng(6).normal(size=(400, 8))
+    rows = [(k, v.tolist(), 0, "x") for k, v in enumerate(points)]
+    assert graph_search.neighbours(vectors(spark, rows), shard_size=50).count() == 400
+    per_file = spark.read.parquet(f"{tmp_path}/graphs").groupBy("_metadata.file_path").count().collect()
+    assert sum(r["count"] for r in per_file) == 8 and len(per_file) >= 5
+
+
 def test_recall_over_shards(spark):
     rng = np.random.default_rng(3)
     points = rng.normal(size=(1500, 24))
